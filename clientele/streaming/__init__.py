@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The job this library re-creates is a batch run: it reads the tables, computes
+and writes once per run, with no event-time windows, watermarks, state or
+late data.  Every operator takes an explicit ``as_of`` instead, so a
+scheduler can re-run it on fresh tables.
+"""
