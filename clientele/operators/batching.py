@@ -22,8 +22,10 @@ def assign_batches(
     ``row_number()`` over the whole table would move every row into one
     task; instead:
 
-    1. range-partition by ``key`` (Spark samples the cut points) and sort
-       within each shard;
+    1. checkpoint the input, so that Spark's sampling of range cut points
+       and the partitioning itself read stored rows instead of running the
+       (usually expensive) input plan twice; range-partition by ``key`` and
+       sort within each shard;
     2. take each row's shard and position in the shard, and checkpoint to
        the shared checkpoint folder, so that both are stored values (a lost
        executor or a re-planned shuffle cannot renumber them) and the
@@ -36,7 +38,8 @@ def assign_batches(
     if size <= 0:
         raise ValueError("size must be positive")
     checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(shards, key) if shards else df.repartitionByRange(key)
+    source = df.checkpoint(eager=True)
+    ranged = source.repartitionByRange(shards, key) if shards else source.repartitionByRange(key)
     placed = ranged.sortWithinPartitions(key).withColumns(
         {
             "_shard": F.spark_partition_id(),
