@@ -1,0 +1,98 @@
+"""Order-preserving text codes and (time, code) keys for "latest event" maxima.
+
+``max(struct(ts, text))`` carries a string in its aggregation buffer, which
+forces Spark onto sort-based aggregation without whole-stage codegen.  The
+same maximum can be taken over one fixed-width number instead:
+
+* every distinct text gets a code ``1..n`` in Spark's string order (NULL is
+  0, below any text), so comparing codes compares texts;
+* ``key = micros(ts) * 10**6 + code`` as ``DECIMAL(38,0)`` orders by time
+  first, then by text - exactly the struct order;
+* ``max(key)`` is a fixed-width aggregate, so hash aggregation with codegen
+  applies; the time and the code are split off again at the end and the
+  code is looked up in the dictionary.
+
+The dictionary is broadcast, so its size is checked first: more than
+``limit`` distinct texts and the caller keeps the struct form.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+CODE_BASE = 10**6
+DEFAULT_CODE_LIMIT = 100_000
+# Below every representable TIMESTAMP_NTZ (year 1 is about -6.2e16 us), so a
+# NULL time ranks under any real time but still keeps its code.
+NULL_TIME_MICROS = -(10**17)
+
+_KEY_TYPE = "decimal(38,0)"
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (no time zone involved)."""
+    return F.timestamp_diff("MICROSECOND", _epoch(), ts)
+
+
+def text_dictionary(texts: DataFrame, limit: int = DEFAULT_CODE_LIMIT) -> DataFrame | None:
+    """``(text, code)`` for the distinct non-NULL values of ``texts``' only column.
+
+    Returns None when there are more than ``limit`` of them: the dictionary
+    is broadcast, so its size must be known to be small.  The distinct texts
+    are computed once (one job over a single pruned column) and checkpointed
+    to the shared checkpoint folder, so the count and the several lookups
+    that use the dictionary read stored rows instead of re-running the input
+    plan; the codes come from a window over at most ``limit`` rows.
+    """
+    from clientele.session import checkpoint_dir
+
+    checkpoint_dir(texts.sparkSession)
+    (column,) = texts.columns
+    vocab = texts.select(F.col(column).alias("text")).filter(F.col("text").isNotNull()).distinct()
+    vocab = vocab.checkpoint(eager=True)
+    if vocab.count() > limit:
+        return None
+    codes = vocab.select("text", F.row_number().over(Window.orderBy("text")).alias("code"))
+    return codes.checkpoint(eager=True)
+
+
+def with_code(df: DataFrame, column: str, dictionary: DataFrame, code_column: str) -> DataFrame:
+    """Add ``code_column``: the dictionary code of ``column`` (0 for NULL)."""
+    d = dictionary.select(F.col("text").alias(f"_{code_column}_text"), F.col("code").alias(code_column))
+    joined = df.join(F.broadcast(d), df[column] == d[f"_{code_column}_text"], "left")
+    return joined.drop(f"_{code_column}_text").withColumn(code_column, F.coalesce(F.col(code_column), F.lit(0)))
+
+
+def event_key(ts: Column, code: Column, null_time_last: bool = False) -> Column:
+    """``micros(ts) * 10**6 + code`` as DECIMAL(38,0); NULL ``ts`` gives NULL.
+
+    With ``null_time_last`` a NULL time gets the smallest time instead, so
+    the row still competes but loses to any real time.
+    """
+    t = micros(ts)
+    if null_time_last:
+        t = F.coalesce(t, F.lit(NULL_TIME_MICROS))
+    return t.cast(_KEY_TYPE) * F.lit(CODE_BASE).cast(_KEY_TYPE) + code.cast(_KEY_TYPE)
+
+
+def key_time(key: Column) -> Column:
+    """The TIMESTAMP_NTZ part of an event key (NULL for the NULL-time marker)."""
+    t = F.floor(key / F.lit(CODE_BASE)).cast("bigint")
+    return F.when(t > F.lit(NULL_TIME_MICROS), F.timestamp_add("MICROSECOND", t, _epoch()))
+
+
+def key_code(key: Column) -> Column:
+    """The text-code part of an event key."""
+    return (key - F.floor(key / F.lit(CODE_BASE)) * F.lit(CODE_BASE)).cast("int")
+
+
+def decode_text(df: DataFrame, code_column: str, dictionary: DataFrame, text_column: str) -> DataFrame:
+    """Replace ``code_column`` by ``text_column``, looked up in the broadcast dictionary."""
+    d = dictionary.select(F.col("code").alias(f"_{text_column}_code"), F.col("text").alias(text_column))
+    joined = df.join(F.broadcast(d), df[code_column] == d[f"_{text_column}_code"], "left")
+    return joined.drop(code_column, f"_{text_column}_code")

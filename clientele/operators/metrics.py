@@ -17,6 +17,13 @@ partially before every shuffle: a customer (or order) holding a third of all
 rows is reduced to one row per map task before it reaches a single reducer.
 Catalyst prunes the aggregates a caller does not select, so a query for one
 metric family reads and computes only what that family needs.
+
+The "latest event" metrics (time plus reason or status text) are maxima of
+one fixed-width number per event - time and an order-preserving text code,
+see ``clientele.functions.encoding`` - so every level runs as a hash
+aggregate with whole-stage codegen.  When a text column has too many
+distinct values to broadcast its dictionary, the metrics fall back to
+``max(struct(time, text))`` (sort-based aggregation, same results).
 """
 
 from __future__ import annotations
@@ -25,6 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.buckets import BUCKETS, bucket_mask, favourite_from_counts
+from clientele.functions.encoding import (
+    DEFAULT_CODE_LIMIT,
+    decode_text,
+    event_key,
+    key_code,
+    key_time,
+    text_dictionary,
+    with_code,
+)
 from clientele.functions.timefns import as_of_literal, minus_days, plus_days
 from clientele.operators.facts import flag_items, order_attributes
 
@@ -37,7 +53,7 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def _order_partials(flagged: DataFrame, ship_sla_days: int, refund_sla_days: int) -> DataFrame:
+def _order_partials(flagged: DataFrame, ship_sla_days: int, refund_sla_days: int, event) -> DataFrame:
     item = F.col("id_sales_order_item")
     created = F.col("created_at")
     # A NULL voucher value counts as used: ``NULL = 0`` is not true.
@@ -67,14 +83,14 @@ def _order_partials(flagged: DataFrame, ship_sla_days: int, refund_sla_days: int
         F.max(
             F.when(F.col("is_refund_broken_sla") == 1, plus_days(F.col("ready_for_refund_at"), refund_sla_days))
         ).alias("last_refund_breach_at"),
-        F.max(F.when(canceled, _event(F.col("canceled_at"), F.col("cancel_reason")))).alias("last_cancel"),
-        F.max(
-            F.when(canceled & (F.col("is_bad_cancel_reason") == 1), _event(F.col("canceled_at"), F.col("cancel_reason")))
-        ).alias("last_bad_cancel"),
-        F.max(F.when(returned, _event(F.col("returned_at"), F.col("return_reason")))).alias("last_return"),
-        F.max(
-            F.when(returned & (F.col("is_bad_return_reason") == 1), _event(F.col("returned_at"), F.col("return_reason")))
-        ).alias("last_bad_return"),
+        F.max(F.when(canceled, event("canceled_at", "cancel"))).alias("last_cancel"),
+        F.max(F.when(canceled & (F.col("is_bad_cancel_reason") == 1), event("canceled_at", "cancel"))).alias(
+            "last_bad_cancel"
+        ),
+        F.max(F.when(returned, event("returned_at", "return"))).alias("last_return"),
+        F.max(F.when(returned & (F.col("is_bad_return_reason") == 1), event("returned_at", "return"))).alias(
+            "last_bad_return"
+        ),
     )
 
 
@@ -110,29 +126,53 @@ def customer_metrics(
     *,
     ship_sla_days: int = 3,
     refund_sla_days: int = 7,
+    text_code_limit: int = DEFAULT_CODE_LIMIT,
     **reason_options,
 ) -> DataFrame:
     """One typed row per customer with at least one verified item.
 
     No recency filter: ``customer_profile`` and ``contact_table`` apply it.
     ``reason_options`` go to ``flag_items`` (``bad_cancel_reasons``,
-    ``bad_return_reasons``, ``match``).
+    ``bad_return_reasons``, ``match``).  ``text_code_limit`` bounds the
+    reason and status dictionaries that may be broadcast (0: never code).
     """
     flagged = flag_items(
         items, as_of, ship_sla_days=ship_sla_days, refund_sla_days=refund_sla_days, **reason_options
     )
-    per_order = _order_partials(flagged, ship_sla_days, refund_sla_days)
-    joined = per_order.join(
-        order_attributes(orders), F.col("fk_sales_order") == F.col("id_sales_order"), "inner"
-    )
-
+    order_rows = order_attributes(orders)
+    reasons = statuses = None
+    if text_code_limit > 0:
+        reasons = text_dictionary(
+            items.select(F.explode(F.array("cancel_reason", "return_reason")).alias("reason")), text_code_limit
+        )
+        statuses = text_dictionary(orders.select("status"), text_code_limit) if reasons is not None else None
+    coded = reasons is not None and statuses is not None
     order_ts = F.col("order_created_at")
+    if coded:
+        flagged = with_code(flagged, "cancel_reason", reasons, "cancel_code")
+        flagged = with_code(flagged, "return_reason", reasons, "return_code")
+        order_rows = with_code(order_rows, "status", statuses, "status_code")
+
+        def event(ts: str, kind: str) -> Column:
+            return event_key(F.col(ts), F.col(f"{kind}_code"))
+
+        status_event = event_key(order_ts, F.col("status_code"), null_time_last=True)
+    else:
+
+        def event(ts: str, kind: str) -> Column:
+            return _event(F.col(ts), F.col(f"{kind}_reason"))
+
+        status_event = _event(order_ts, F.col("status"))
+
+    per_order = _order_partials(flagged, ship_sla_days, refund_sla_days, event)
+    joined = per_order.join(order_rows, F.col("fk_sales_order") == F.col("id_sales_order"), "inner")
+
     per_order_nr = joined.groupBy("customer_id", "order_nr").agg(
         *[F.sum(c).alias(c) for c in _SUMMED],
         *[F.max(c).alias(c) for c in _MAXED],
         F.bool_or("has_voucher").alias("has_voucher"),
         F.bool_or("has_cart_rule").alias("has_cart_rule"),
-        F.max(_event(order_ts, F.col("status"))).alias("last_status"),
+        F.max(status_event).alias("last_status"),
         *[F.bit_or(bucket_mask(order_ts, kind)).alias(f"mask_{kind}") for kind in BUCKETS],
     )
 
@@ -165,7 +205,7 @@ def customer_metrics(
             F.when(found, top["n"]).alias(spec.count_column),
         ]
 
-    return per_customer.select(
+    result = per_customer.select(
         "customer_id",
         _ratio(F.col("sum_price"), n_items).alias("avg_item_price"),
         F.try_divide(n_items, order_count).cast("bigint").alias("avg_basket_size"),
@@ -186,17 +226,43 @@ def customer_metrics(
         order_count,
         n_items.alias("item_count"),
         F.col("last_item_at").alias("last_order_date"),
-        F.col("last_cancel.at").alias("last_cancel_date"),
-        F.col("last_cancel.value").alias("last_cancel_reason"),
-        F.col("last_bad_cancel.at").alias("last_bad_cancel_date"),
-        F.col("last_bad_cancel.value").alias("last_bad_cancel_reason"),
-        F.col("last_return.at").alias("last_return_date"),
-        F.col("last_return.value").alias("last_return_reason"),
-        F.col("last_bad_return.at").alias("last_bad_return_date"),
-        F.col("last_bad_return.value").alias("last_bad_return_reason"),
-        F.col("last_status.value").alias("last_order_status"),
+        *_event_columns(coded),
         *favourites,
     )
+    if not coded:
+        return result
+    # Codes back to texts: broadcast lookups on per-customer rows, no shuffle.
+    order = [c.removesuffix("_code") if c.endswith("_code") else c for c in result.columns]
+    for name in _EVENT_NAMES:
+        dictionary = statuses if name == "last_order_status" else reasons
+        result = decode_text(result, f"{name}_code", dictionary, name)
+    return result.select(*order)
+
+
+# latest-event output columns: (aggregate column, date column, text column)
+_EVENTS = (
+    ("last_cancel", "last_cancel_date", "last_cancel_reason"),
+    ("last_bad_cancel", "last_bad_cancel_date", "last_bad_cancel_reason"),
+    ("last_return", "last_return_date", "last_return_reason"),
+    ("last_bad_return", "last_bad_return_date", "last_bad_return_reason"),
+    ("last_status", None, "last_order_status"),
+)
+_EVENT_NAMES = tuple(text for _, _, text in _EVENTS)
+
+
+def _event_columns(coded: bool) -> list[Column]:
+    out = []
+    for agg, date, text in _EVENTS:
+        key = F.col(agg)
+        if coded:
+            if date:
+                out.append(key_time(key).alias(date))
+            out.append(key_code(key).alias(f"{text}_code"))
+        else:
+            if date:
+                out.append(key["at"].alias(date))
+            out.append(key["value"].alias(text))
+    return out
 
 
 PROFILE_COLUMNS = (

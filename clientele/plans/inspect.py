@@ -21,6 +21,8 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 
 _NODES = {
     "hash_exchange": r"Exchange hashpartitioning",
+    "required_hash_exchange": r"Exchange hashpartitioning\([^\n]*ENSURE_REQUIREMENTS",
+    "explicit_repartition": r"Exchange [a-z]+partitioning\([^\n]*REPARTITION_BY",
     "range_exchange": r"Exchange rangepartitioning",
     "single_partition_exchange": r"Exchange SinglePartition",
     "broadcast_exchange": r"BroadcastExchange",

@@ -72,8 +72,13 @@ ORDER_COLS = [c.split()[0] for c in ORDER_SCHEMA.split(", ")]
     phases=[Phase.explicit, Phase.reuse, Phase.generate],
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
-@given(orders=st.lists(order_st, min_size=1, max_size=6), items=st.lists(item_st, min_size=1, max_size=14))
-def test_fused_metrics_equal_reference_sql(spark, orders, items):
+@given(
+    orders=st.lists(order_st, min_size=1, max_size=6),
+    items=st.lists(item_st, min_size=1, max_size=14),
+    code_limit=st.sampled_from([100_000, 0]),
+)
+def test_fused_metrics_equal_reference_sql(spark, orders, items, code_limit):
+    """``code_limit=0`` forces the struct fallback for the latest-event metrics."""
     order_rows = [(i, o["order_nr"], o["customer_id"], o["status"], o["created_at"]) for i, o in enumerate(orders)]
     item_rows = []
     for k, it in enumerate(items):
@@ -83,7 +88,7 @@ def test_fused_metrics_equal_reference_sql(spark, orders, items):
 
     o = spark.createDataFrame(order_rows, ORDER_SCHEMA)
     i = spark.createDataFrame(item_rows, ITEM_SCHEMA)
-    got = customer_metrics(o, i, FIXTURE_AS_OF)
+    got = customer_metrics(o, i, FIXTURE_AS_OF, text_code_limit=code_limit)
     got = got.drop(*[c for c in got.columns if c.startswith("ratio_")])
     s_cols, s_rows = normalise(got.columns, got.collect())
 
