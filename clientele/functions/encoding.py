@@ -10,19 +10,24 @@ same maximum can be taken over one fixed-width number instead:
   first, then by text - exactly the struct order;
 * ``max(key)`` is a fixed-width aggregate, so hash aggregation with codegen
   applies; the time and the code are split off again at the end and the
-  code is looked up in the dictionary.
+  code is turned back into its text.
 
-The dictionary is broadcast, so its size is checked first: more than
-``limit`` distinct texts and the caller keeps the struct form.
+The dictionary is small by construction: it is fetched with
+``limit(max_texts + 1)``, and with more distinct texts than that the caller
+keeps the struct form.  Coding and decoding are plain expressions over
+literals (a map lookup, an array index), so no join is added and Catalyst
+prunes them together with the columns a query does not use.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CODE_BASE = 10**6
-DEFAULT_CODE_LIMIT = 100_000
+DEFAULT_CODE_LIMIT = 1_000
 # Below every representable TIMESTAMP_NTZ (year 1 is about -6.2e16 us), so a
 # NULL time ranks under any real time but still keeps its code.
 NULL_TIME_MICROS = -(10**17)
@@ -39,33 +44,41 @@ def micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", _epoch(), ts)
 
 
-def text_dictionary(texts: DataFrame, limit: int = DEFAULT_CODE_LIMIT) -> DataFrame | None:
-    """``(text, code)`` for the distinct non-NULL values of ``texts``' only column.
+@dataclass(frozen=True)
+class TextCodes:
+    """Distinct texts in Spark's string order; a text's code is its position (1-based)."""
 
-    Returns None when there are more than ``limit`` of them: the dictionary
-    is broadcast, so its size must be known to be small.  The distinct texts
-    are computed once (one job over a single pruned column) and checkpointed
-    to the shared checkpoint folder, so the count and the several lookups
-    that use the dictionary read stored rows instead of re-running the input
-    plan; the codes come from a window over at most ``limit`` rows.
-    """
-    from clientele.session import checkpoint_dir
+    texts: tuple[str, ...]
+
+    def code(self, text: Column) -> Column:
+        """Code of ``text``; 0 for NULL (and for a text not in the dictionary)."""
+        if not self.texts:
+            return F.lit(0)
+        pairs = []
+        for i, t in enumerate(self.texts, start=1):
+            pairs += [F.lit(t), F.lit(i)]
+        return F.coalesce(F.create_map(*pairs)[text], F.lit(0))
+
+    def text(self, code: Column) -> Column:
+        """Text of ``code``; NULL for 0 or NULL."""
+        if not self.texts:
+            return F.lit(None).cast("string")
+        return F.when(code > 0, F.element_at(F.array(*[F.lit(t) for t in self.texts]), code))
+
+
+def text_codes(texts: DataFrame, limit: int = DEFAULT_CODE_LIMIT) -> TextCodes | None:
+    """Codes for the distinct non-NULL values of ``texts``' only column, or None if too many.
 
-    checkpoint_dir(texts.sparkSession)
+    One Spark job over a single pruned column; at most ``limit + 1`` distinct
+    values reach the driver.  Python orders ``str`` by code point, which is
+    the order of Spark's UTF-8 binary string comparison.
+    """
     (column,) = texts.columns
     vocab = texts.select(F.col(column).alias("text")).filter(F.col("text").isNotNull()).distinct()
-    vocab = vocab.checkpoint(eager=True)
-    if vocab.count() > limit:
+    rows = vocab.limit(limit + 1).collect()
+    if len(rows) > limit:
         return None
-    codes = vocab.select("text", F.row_number().over(Window.orderBy("text")).alias("code"))
-    return codes.checkpoint(eager=True)
-
-
-def with_code(df: DataFrame, column: str, dictionary: DataFrame, code_column: str) -> DataFrame:
-    """Add ``code_column``: the dictionary code of ``column`` (0 for NULL)."""
-    d = dictionary.select(F.col("text").alias(f"_{code_column}_text"), F.col("code").alias(code_column))
-    joined = df.join(F.broadcast(d), df[column] == d[f"_{code_column}_text"], "left")
-    return joined.drop(f"_{code_column}_text").withColumn(code_column, F.coalesce(F.col(code_column), F.lit(0)))
+    return TextCodes(tuple(sorted(r["text"] for r in rows)))
 
 
 def event_key(ts: Column, code: Column, null_time_last: bool = False) -> Column:
@@ -89,10 +102,3 @@ def key_time(key: Column) -> Column:
 def key_code(key: Column) -> Column:
     """The text-code part of an event key."""
     return (key - F.floor(key / F.lit(CODE_BASE)) * F.lit(CODE_BASE)).cast("int")
-
-
-def decode_text(df: DataFrame, code_column: str, dictionary: DataFrame, text_column: str) -> DataFrame:
-    """Replace ``code_column`` by ``text_column``, looked up in the broadcast dictionary."""
-    d = dictionary.select(F.col("code").alias(f"_{text_column}_code"), F.col("text").alias(text_column))
-    joined = df.join(F.broadcast(d), df[code_column] == d[f"_{text_column}_code"], "left")
-    return joined.drop(code_column, f"_{text_column}_code")

@@ -32,15 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.buckets import BUCKETS, bucket_mask, favourite_from_counts
-from clientele.functions.encoding import (
-    DEFAULT_CODE_LIMIT,
-    decode_text,
-    event_key,
-    key_code,
-    key_time,
-    text_dictionary,
-    with_code,
-)
+from clientele.functions.encoding import DEFAULT_CODE_LIMIT, event_key, key_code, key_time, text_codes
 from clientele.functions.timefns import as_of_literal, minus_days, plus_days
 from clientele.operators.facts import flag_items, order_attributes
 
@@ -142,21 +134,18 @@ def customer_metrics(
     order_rows = order_attributes(orders)
     reasons = statuses = None
     if text_code_limit > 0:
-        reasons = text_dictionary(
+        reasons = text_codes(
             items.select(F.explode(F.array("cancel_reason", "return_reason")).alias("reason")), text_code_limit
         )
-        statuses = text_dictionary(orders.select("status"), text_code_limit) if reasons is not None else None
+        statuses = text_codes(orders.select("status"), text_code_limit) if reasons is not None else None
     coded = reasons is not None and statuses is not None
     order_ts = F.col("order_created_at")
     if coded:
-        flagged = with_code(flagged, "cancel_reason", reasons, "cancel_code")
-        flagged = with_code(flagged, "return_reason", reasons, "return_code")
-        order_rows = with_code(order_rows, "status", statuses, "status_code")
 
         def event(ts: str, kind: str) -> Column:
-            return event_key(F.col(ts), F.col(f"{kind}_code"))
+            return event_key(F.col(ts), reasons.code(F.col(f"{kind}_reason")))
 
-        status_event = event_key(order_ts, F.col("status_code"), null_time_last=True)
+        status_event = event_key(order_ts, statuses.code(F.col("status")), null_time_last=True)
     else:
 
         def event(ts: str, kind: str) -> Column:
@@ -226,17 +215,10 @@ def customer_metrics(
         order_count,
         n_items.alias("item_count"),
         F.col("last_item_at").alias("last_order_date"),
-        *_event_columns(coded),
+        *_event_columns(reasons, statuses) if coded else _event_columns(None, None),
         *favourites,
     )
-    if not coded:
-        return result
-    # Codes back to texts: broadcast lookups on per-customer rows, no shuffle.
-    order = [c.removesuffix("_code") if c.endswith("_code") else c for c in result.columns]
-    for name in _EVENT_NAMES:
-        dictionary = statuses if name == "last_order_status" else reasons
-        result = decode_text(result, f"{name}_code", dictionary, name)
-    return result.select(*order)
+    return result
 
 
 # latest-event output columns: (aggregate column, date column, text column)
@@ -247,17 +229,17 @@ _EVENTS = (
     ("last_bad_return", "last_bad_return_date", "last_bad_return_reason"),
     ("last_status", None, "last_order_status"),
 )
-_EVENT_NAMES = tuple(text for _, _, text in _EVENTS)
 
 
-def _event_columns(coded: bool) -> list[Column]:
+def _event_columns(reasons, statuses) -> list[Column]:
     out = []
     for agg, date, text in _EVENTS:
         key = F.col(agg)
-        if coded:
+        if reasons is not None:
+            codes = statuses if text == "last_order_status" else reasons
             if date:
                 out.append(key_time(key).alias(date))
-            out.append(key_code(key).alias(f"{text}_code"))
+            out.append(codes.text(key_code(key)).alias(text))
         else:
             if date:
                 out.append(key["at"].alias(date))
