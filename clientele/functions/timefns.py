@@ -14,9 +14,13 @@ def as_of_literal(as_of: dt.datetime | str) -> Column:
     The source job read the clock separately in every statement; one explicit
     value makes a run repeatable and keeps all metrics consistent.
     """
-    if isinstance(as_of, str):
-        as_of = dt.datetime.fromisoformat(as_of)
-    return F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
+    if isinstance(as_of, dt.datetime):
+        as_of = as_of.replace(tzinfo=None).isoformat(sep=" ")
+    else:
+        dt.datetime.fromisoformat(as_of)  # reject malformed input early
+    # From text, so neither the Python process's nor the session's time zone
+    # can shift the value.
+    return F.lit(as_of).cast("timestamp_ntz")
 
 
 def hour_boundaries(start: Column, end: Column) -> Column:

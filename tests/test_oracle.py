@@ -42,3 +42,13 @@ def test_fixture_figures(spark):
     assert q["last_return"](spark, SF01).count() == 1497
     assert q["last_bad_return"](spark, SF01).count() == 1485
     assert q["item_facts"](spark, SF01).count() == 53898
+
+
+@pytest.mark.parametrize("name", ["customer_metrics", "contact_export", "last_bad_return", "favourite_weekday"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        result = compare(spark, con, name, entry.queries()[name](spark, SF01), TWINS[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert result["values_match"], result["diff"]
