@@ -23,8 +23,8 @@ def test_query_matches_oracle(spark, con, name):
     assert result["values_match"], result["diff"]
 
 
-def test_every_query_has_a_twin_except_payloads():
-    assert set(entry.queries()) - set(TWINS) == {"contact_payloads"}
+def test_every_query_has_a_twin():
+    assert set(entry.queries()) == set(TWINS)
 
 
 def test_entry_smoke(spark):
