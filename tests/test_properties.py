@@ -1,0 +1,47 @@
+"""Invariants over the sf0.01 results (SURVEY test strategy, properties)."""
+
+from pyspark.sql import functions as F
+
+from clientele.functions.buckets import BUCKETS
+from clientele.plans.registry import queries
+from conftest import SF01
+
+RATIOS = (
+    "cancel_ratio", "return_ratio", "refund_reject_ratio", "order_voucher_ratio", "order_cart_rule_ratio",
+    "bad_cancellation_ratio", "bad_return_ratio", "ship_broken_sla_ratio", "refund_broken_sla_ratio",
+)
+
+
+def test_ratios_lie_in_unit_interval_and_counts_are_consistent(spark):
+    m = queries()["customer_metrics"](spark, SF01)
+    bad = m.filter(
+        F.greatest(*[(F.col(r) < 0) | (F.col(r) > 1) for r in RATIOS])
+        | (F.col("avg_basket_size") * F.col("order_count") > F.col("item_count"))
+        | F.greatest(*[F.col(s.count_column) > F.col("order_count") for s in BUCKETS.values()])
+        | (F.col("last_bad_cancel_date") > F.col("last_cancel_date"))
+        | (F.col("last_bad_return_date") > F.col("last_return_date"))
+    )
+    assert bad.count() == 0
+    assert m.count() == m.select("customer_id").distinct().count()
+
+
+def test_each_family_has_at_most_one_row_per_customer(spark):
+    q = queries()
+    for name in ("last_cancel", "last_bad_cancel", "last_return", "last_bad_return", "last_order_status",
+                 "favourite_hour", "favourite_weekday", "favourite_monthday", "favourite_month", "recent_emails"):
+        df = q[name](spark, SF01)
+        assert df.count() == df.select("customer_id").distinct().count(), name
+
+
+def test_bucket_values_are_in_range(spark):
+    m = queries()["customer_metrics"](spark, SF01)
+    for spec in BUCKETS.values():
+        lo, hi = min(spec.values), max(spec.values)
+        assert m.filter((F.col(spec.column) < lo) | (F.col(spec.column) > hi)).count() == 0
+
+
+def test_every_contact_lands_in_exactly_one_full_batch(spark):
+    b = queries()["contact_batches"](spark, SF01)
+    sizes = [r["n"] for r in b.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n")).orderBy("batch_no").collect()]
+    assert sum(sizes) == 175 and all(n == 50 for n in sizes[:-1]) and 0 < sizes[-1] <= 50
+    assert b.select("customer_id").distinct().count() == 175
