@@ -119,6 +119,7 @@ def customer_metrics(
     ship_sla_days: int = 3,
     refund_sla_days: int = 7,
     text_code_limit: int = DEFAULT_CODE_LIMIT,
+    unique_order_numbers: bool = False,
     **reason_options,
 ) -> DataFrame:
     """One typed row per customer with at least one verified item.
@@ -127,6 +128,11 @@ def customer_metrics(
     ``reason_options`` go to ``flag_items`` (``bad_cancel_reasons``,
     ``bad_return_reasons``, ``match``).  ``text_code_limit`` bounds the
     reason and status dictionaries that may be broadcast (0: never code).
+
+    ``unique_order_numbers=True`` states that no customer has two orders
+    with the same non-NULL order number.  Level 2 is then an identity
+    regrouping, so it is skipped and one shuffle of per-order rows with it;
+    results are the same as long as the statement holds.
     """
     flagged = flag_items(
         items, as_of, ship_sla_days=ship_sla_days, refund_sla_days=refund_sla_days, **reason_options
@@ -156,14 +162,26 @@ def customer_metrics(
     per_order = _order_partials(flagged, ship_sla_days, refund_sla_days, event)
     joined = per_order.join(order_rows, F.col("fk_sales_order") == F.col("id_sales_order"), "inner")
 
-    per_order_nr = joined.groupBy("customer_id", "order_nr").agg(
-        *[F.sum(c).alias(c) for c in _SUMMED],
-        *[F.max(c).alias(c) for c in _MAXED],
-        F.bool_or("has_voucher").alias("has_voucher"),
-        F.bool_or("has_cart_rule").alias("has_cart_rule"),
-        F.max(status_event).alias("last_status"),
-        *[F.bit_or(bucket_mask(order_ts, kind)).alias(f"mask_{kind}") for kind in BUCKETS],
-    )
+    if unique_order_numbers:
+        per_order_nr = joined.select(
+            "customer_id",
+            "order_nr",
+            *_SUMMED,
+            *_MAXED,
+            "has_voucher",
+            "has_cart_rule",
+            status_event.alias("last_status"),
+            *[bucket_mask(order_ts, kind).alias(f"mask_{kind}") for kind in BUCKETS],
+        )
+    else:
+        per_order_nr = joined.groupBy("customer_id", "order_nr").agg(
+            *[F.sum(c).alias(c) for c in _SUMMED],
+            *[F.max(c).alias(c) for c in _MAXED],
+            F.bool_or("has_voucher").alias("has_voucher"),
+            F.bool_or("has_cart_rule").alias("has_cart_rule"),
+            F.max(status_event).alias("last_status"),
+            *[F.bit_or(bucket_mask(order_ts, kind)).alias(f"mask_{kind}") for kind in BUCKETS],
+        )
 
     order_nr = F.col("order_nr")
     tallies = []

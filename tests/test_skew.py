@@ -58,3 +58,13 @@ def test_require_email_drops_contacts_without_one(spark):
     emails = recent_customer_emails(t["customers"], t["storefront_orders"], FIXTURE_AS_OF)
     assert contact_table(metrics, emails, FIXTURE_AS_OF).count() == 175
     assert contact_table(metrics, emails, FIXTURE_AS_OF, require_email=True).count() == 164
+
+
+def test_unique_order_numbers_shortcut_gives_the_same_metrics(spark):
+    from clientele.plans.inspect import plan_summary
+
+    t = fixture_tables(spark, SF01)  # order numbers are 'SO' + order key: unique
+    exact = customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF)
+    short = customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF, unique_order_numbers=True)
+    assert exact.exceptAll(short).count() == 0 and short.exceptAll(exact).count() == 0
+    assert plan_summary(short)["required_hash_exchange"] == plan_summary(exact)["required_hash_exchange"] - 1
