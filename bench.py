@@ -45,12 +45,10 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(
-        f"local[{cpus}]",
-        app_name="clientele-bench",
-        shuffle_partitions=max(cpus * 2, 8),
-        extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
-    )
+    conf = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_JAVA_OPTS"):
+        conf["spark.driver.extraJavaOptions"] = os.environ["BENCH_JAVA_OPTS"]
+    spark = build_session(f"local[{cpus}]", app_name="clientele-bench", shuffle_partitions=max(cpus * 2, 8), extra_conf=conf)
     registry = queries()
     timings: dict[str, float] = {}
     for name in HEADLINE:

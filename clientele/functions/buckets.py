@@ -57,11 +57,13 @@ def bucket_mask(ts: Column, kind: str) -> Column:
     return F.when(part.isNotNull(), F.call_function("shiftleft", F.lit(1).cast("bigint"), part)).otherwise(F.lit(0).cast("bigint"))
 
 
-def favourite_from_counts(counts: dict[int, Column]) -> Column:
+def favourite_from_counts(counts: dict[int, str]) -> Column:
     """Struct ``(n, neg_value)`` of the bucket with most orders; ties go to the smallest value.
 
+    ``counts`` maps each bucket value to the name of its count column.
     ``greatest`` over structs compares the count first, then ``-value``, so
     the smallest value wins a tie.  The source SQL ranked by the count only
     and so broke ties arbitrarily; this rule makes runs repeatable.
     """
-    return F.greatest(*[F.struct(n.alias("n"), F.lit(-v).alias("neg_value")) for v, n in counts.items()])
+    structs = ", ".join(f"named_struct('n', `{n}`, 'neg_value', {-v})" for v, n in counts.items())
+    return F.expr(f"greatest({structs})")

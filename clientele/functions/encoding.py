@@ -54,16 +54,14 @@ class TextCodes:
         """Code of ``text``; 0 for NULL (and for a text not in the dictionary)."""
         if not self.texts:
             return F.lit(0)
-        pairs = []
-        for i, t in enumerate(self.texts, start=1):
-            pairs += [F.lit(t), F.lit(i)]
-        return F.coalesce(F.create_map(*pairs)[text], F.lit(0))
+        lookup = F.map_from_arrays(F.lit(list(self.texts)), F.lit(list(range(1, len(self.texts) + 1))))
+        return F.coalesce(lookup[text], F.lit(0))
 
     def text(self, code: Column) -> Column:
         """Text of ``code``; NULL for 0 or NULL."""
         if not self.texts:
             return F.lit(None).cast("string")
-        return F.when(code > 0, F.element_at(F.array(*[F.lit(t) for t in self.texts]), code))
+        return F.when(code > 0, F.element_at(F.lit(list(self.texts)), code))
 
 
 def text_codes(texts: DataFrame, limit: int = DEFAULT_CODE_LIMIT) -> TextCodes | None:
