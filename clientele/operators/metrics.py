@@ -213,7 +213,7 @@ def customer_metrics(
             F.when(found, top["n"]).alias(spec.count_column),
         ]
 
-    result = per_customer.select(
+    return per_customer.select(
         "customer_id",
         _ratio(F.col("sum_price"), n_items).alias("avg_item_price"),
         F.try_divide(n_items, order_count).cast("bigint").alias("avg_basket_size"),
@@ -234,10 +234,9 @@ def customer_metrics(
         order_count,
         n_items.alias("item_count"),
         F.col("last_item_at").alias("last_order_date"),
-        *_event_columns(reasons, statuses) if coded else _event_columns(None, None),
+        *_event_columns((reasons, statuses) if coded else None),
         *favourites,
     )
-    return result
 
 
 # latest-event output columns: (aggregate column, date column, text column)
@@ -250,15 +249,17 @@ _EVENTS = (
 )
 
 
-def _event_columns(reasons, statuses) -> list[Column]:
+def _event_columns(codes) -> list[Column]:
+    """Date and text columns of the latest events; ``codes`` = (reasons, statuses) or None."""
     out = []
     for agg, date, text in _EVENTS:
         key = F.col(agg)
-        if reasons is not None:
-            codes = statuses if text == "last_order_status" else reasons
+        if codes is not None:
+            reasons, statuses = codes
+            dictionary = statuses if text == "last_order_status" else reasons
             if date:
                 out.append(key_time(key).alias(date))
-            out.append(codes.text(key_code(key)).alias(text))
+            out.append(dictionary.text(key_code(key)).alias(text))
         else:
             if date:
                 out.append(key["at"].alias(date))
