@@ -7,6 +7,7 @@ from clientele.sources.tables import (
     STOREFRONT_ORDER_COLUMNS,
     read_jdbc_table,
     read_table,
+    save_bucketed,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "STOREFRONT_ORDER_COLUMNS",
     "read_jdbc_table",
     "read_table",
+    "save_bucketed",
 ]

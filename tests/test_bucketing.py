@@ -1,0 +1,29 @@
+"""Order-keyed tables bucketed by order id: fewer shuffles, same metrics."""
+
+import uuid
+
+from clientele.operators.metrics import customer_metrics
+from clientele.plans.inspect import plan_summary
+from clientele.session import checkpoint_dir
+from clientele.sources.fixtures import FIXTURE_AS_OF, fixture_tables
+from clientele.sources.tables import save_bucketed
+from conftest import SF01
+
+
+def test_bucketed_orders_and_items_skip_the_order_shuffles(spark):
+    t = fixture_tables(spark, SF01)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/bucketed-{uuid.uuid4().hex}"
+    suffix = uuid.uuid4().hex[:8]
+    orders = save_bucketed(t["orders"], f"sales_order_{suffix}", "id_sales_order", 8, f"{base}/orders")
+    items = save_bucketed(t["items"], f"sales_item_{suffix}", "fk_sales_order", 8, f"{base}/items")
+
+    plain = customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF)
+    bucketed = customer_metrics(orders, items, FIXTURE_AS_OF)
+    assert plain.exceptAll(bucketed).count() == 0 and bucketed.exceptAll(plain).count() == 0
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan_summary(plain)["required_hash_exchange"] == 4
+        assert plan_summary(bucketed)["required_hash_exchange"] == 2  # (customer, order nr), customer
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
