@@ -22,7 +22,7 @@ def favourite_bucket(
     Ties go to the smallest bucket.  The distinct count is planned by Spark
     in two levels (by key, bucket and order, then by key and bucket), so a
     large customer is spread over many tasks; the top-1 pick is a
-    ``max(struct(count, -bucket))`` aggregate with map-side combining, not a
+    ``max`` over a packed (count, bucket) number with map-side combining, not a
     window that would gather a customer's rows in one task.
     """
     spec = bucket(kind)
@@ -32,9 +32,12 @@ def favourite_bucket(
         .agg(F.count_distinct(order_key).alias("n"))
         .filter(F.col("n") > 0)
     )
-    top = counts.groupBy(key).agg(F.max(F.struct("n", (-F.col("bucket")).alias("neg_value"))).alias("top"))
+    # count * 64 + (63 - bucket): larger count first, then the smaller bucket
+    # (every bucket value is below 64); one BIGINT keeps the pick a hash aggregate.
+    packed = F.col("n") * F.lit(64) + (F.lit(63) - F.col("bucket"))
+    top = counts.groupBy(key).agg(F.max(packed).alias("top"))
     return top.select(
         key,
-        (-F.col("top.neg_value")).alias(spec.column),
-        F.col("top.n").alias(spec.count_column),
+        (F.lit(63) - F.pmod(F.col("top"), F.lit(64))).cast("int").alias(spec.column),
+        F.floor(F.col("top") / F.lit(64)).cast("bigint").alias(spec.count_column),
     )

@@ -153,3 +153,14 @@ def test_same_order_number_on_two_orders_counts_once(spark):
     m = customer_metrics(o, i, AS_OF).first()
     assert m["order_count"] == 1 and m["avg_basket_size"] == 2
     assert m["last_order_status"] == "O"
+
+
+def test_last_event_coded_and_struct_paths_agree(spark):
+    from clientele.plans.registry import _facts
+    from conftest import SF01
+
+    facts = _facts(spark, SF01)
+    for ts, value, require_ts in (("canceled_at", "cancel_reason", True), ("order_created_at", "status", False)):
+        coded = last_event(facts, ts, value, require_ts=require_ts)
+        plain = last_event(facts, ts, value, require_ts=require_ts, text_code_limit=0)
+        assert coded.exceptAll(plain).count() == 0 and plain.exceptAll(coded).count() == 0
