@@ -50,3 +50,62 @@ def run_contact_export(
     written = spark.read.format(fmt).load(out_path)
     row = written.agg(F.count(F.lit(1)).alias("batches"), F.sum("n_contacts").alias("contacts")).first()
     return {"batches": int(row["batches"]), "contacts": int(row["contacts"] or 0)}
+
+
+def main(argv: list[str] | None = None) -> dict[str, int]:
+    """``spark-submit clientele/plans/contact_job.py --orders ... --out ...``.
+
+    Reads the four canonical tables (see ``clientele.sources.tables``), runs
+    the export and writes one payload row per batch to ``--out``.  ``--as-of``
+    defaults to the current time, truncated to the second; pass it
+    explicitly to make a run repeatable.
+    """
+    import argparse
+    import datetime as dt
+
+    from clientele.functions.reasons import MATCH_MODES
+    from clientele.session import build_session
+    from clientele.sources.tables import read_table
+
+    parser = argparse.ArgumentParser(description="Customer contact export")
+    for name in ("orders", "items", "customers", "storefront-orders"):
+        parser.add_argument(f"--{name}", required=True, help=f"path of the {name.replace('-', ' ')} table")
+    parser.add_argument("--format", default="parquet", help="format of the input tables")
+    parser.add_argument("--out", required=True, help="where the payload dataset is written")
+    parser.add_argument("--out-format", default="parquet")
+    parser.add_argument("--as-of", default=None, help="'YYYY-MM-DD HH:MM:SS' (default: now)")
+    parser.add_argument("--batch-size", type=int, default=999)
+    parser.add_argument("--active-days", type=int, default=30)
+    parser.add_argument("--email-days", type=int, default=90)
+    parser.add_argument("--require-email", action="store_true")
+    parser.add_argument("--match", choices=MATCH_MODES, default="exact")
+    parser.add_argument("--unique-order-numbers", action="store_true")
+    args = parser.parse_args(argv)
+
+    as_of = args.as_of or dt.datetime.now().replace(microsecond=0).isoformat(sep=" ")
+    spark = build_session(app_name="clientele-contact-export")
+    tables = {
+        "orders": read_table(spark, args.orders, args.format),
+        "items": read_table(spark, args.items, args.format),
+        "customers": read_table(spark, args.customers, args.format),
+        "storefront_orders": read_table(spark, args.storefront_orders, args.format),
+    }
+    stats = run_contact_export(
+        spark,
+        tables,
+        as_of,
+        args.out,
+        batch_size=args.batch_size,
+        fmt=args.out_format,
+        active_days=args.active_days,
+        email_days=args.email_days,
+        require_email=args.require_email,
+        match=args.match,
+        unique_order_numbers=args.unique_order_numbers,
+    )
+    print({"as_of": as_of, **stats})
+    return stats
+
+
+if __name__ == "__main__":
+    main()
