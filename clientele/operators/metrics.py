@@ -12,10 +12,12 @@ aggregation levels that every metric can be split into:
    would need;
 3. **per customer**: sums, maxima and bucket tallies.
 
-Each level is an ordinary ``groupBy().agg()``, so Spark aggregates
-partially before every shuffle: a customer (or order) holding a third of all
-rows is reduced to one row per map task before it reaches a single reducer.
-Catalyst prunes the aggregates a caller does not select, so a query for one
+Levels 2 and 3 share one shuffle of the per-order rows by customer.  Only
+customers with more orders than an average shard holds are salted by order
+number, so a customer with a third of all orders is spread over every shard
+and reaches its final task as one partial row per shard, while everyone else
+stays whole in one task (no second shuffle of wide partial rows).  Catalyst
+prunes the aggregates a caller does not select, so a query for one
 metric family reads and computes only what that family needs.
 
 The "latest event" metrics (time plus reason or status text) are maxima of
