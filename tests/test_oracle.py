@@ -52,3 +52,15 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert result["values_match"], result["diff"]
+
+
+@pytest.mark.parametrize("name", ["customer_metrics", "contact_batches", "contact_payloads"])
+def test_results_do_not_depend_on_adaptive_execution_or_partition_count(spark, con, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        result = compare(spark, con, name, entry.queries()[name](spark, SF01), TWINS[name])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert result["values_match"], result["diff"]
