@@ -164,3 +164,22 @@ def test_last_event_coded_and_struct_paths_agree(spark):
         coded = last_event(facts, ts, value, require_ts=require_ts)
         plain = last_event(facts, ts, value, require_ts=require_ts, text_code_limit=0)
         assert coded.exceptAll(plain).count() == 0 and plain.exceptAll(coded).count() == 0
+
+
+def test_too_many_texts_fall_back_to_struct_maxima(spark):
+    from clientele.functions.encoding import text_codes
+    from clientele.plans.registry import _facts
+    from clientele.sources.fixtures import fixture_tables
+    from conftest import SF01
+
+    t = fixture_tables(spark, SF01)
+    reasons = t["items"].select(F.explode(F.array("cancel_reason", "return_reason")).alias("r"))
+    assert text_codes(reasons, 2) is None  # the fixture has 7 distinct reasons
+    assert len(text_codes(reasons, 7).texts) == 7
+    bounded = customer_metrics(t["orders"], t["items"], "2001-08-02 00:00:00", text_code_limit=2)
+    coded = customer_metrics(t["orders"], t["items"], "2001-08-02 00:00:00")
+    assert bounded.exceptAll(coded).count() == 0 and coded.exceptAll(bounded).count() == 0
+    facts = _facts(spark, SF01)
+    a = last_event(facts, "returned_at", "return_reason", text_code_limit=1)
+    b = last_event(facts, "returned_at", "return_reason")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
