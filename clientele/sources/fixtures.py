@@ -30,10 +30,9 @@ FIXTURE_RETURN_REASONS = ("Damaged item", "wrong color", "Changed mind", None)
 
 
 # Each test table is one file with one row group, which Spark can only read in
-# one task.  Production order and item tables are many files, ideally bucketed
-# by order id; hash-partitioning the two order-keyed tables on the order key
-# stands in for that layout, so the item work runs in parallel and the
-# per-order aggregation and the order join reuse the partitioning.
+# one task.  Hash-partitioning the two order-keyed tables on the order key
+# lets the derivation run in parallel (the item times need the order join) and
+# writes the stored tables as several files, like production tables.
 _ORDER_KEYED = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
