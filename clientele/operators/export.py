@@ -93,7 +93,14 @@ def _json_like_source(text: Column) -> Column:
     # The payloads were HTML-safe JSON: <, >, & and the two Unicode line
     # separators appear escaped.  They can only occur inside string values,
     # so replacing them in the JSON text is exact.
-    for raw, escaped in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
+    escapes = (
+        ("&", "\\u0026"),
+        ("<", "\\u003c"),
+        (">", "\\u003e"),
+        ("\u2028", "\\u2028"),
+        ("\u2029", "\\u2029"),
+    )
+    for raw, escaped in escapes:
         text = F.replace(text, F.lit(raw), F.lit(escaped))
     return text
 
