@@ -12,12 +12,11 @@ aggregation levels that every metric can be split into:
    would need;
 3. **per customer**: sums, maxima and bucket tallies.
 
-Levels 2 and 3 share one shuffle of the per-order rows by customer.  Only
-customers with more orders than an average shard holds are salted by order
-number, so a customer with a third of all orders is spread over every shard
-and reaches its final task as one partial row per shard, while everyone else
-stays whole in one task (no second shuffle of wide partial rows).  Catalyst
-prunes the aggregates a caller does not select, so a query for one
+Each level is an ordinary ``groupBy().agg()``, so Spark aggregates
+partially before every shuffle, and level 2 is keyed by (customer, order
+number): a customer, an order or a pile of copies holding a third of all rows
+is spread or reduced to one row per map task before it reaches a reducer.
+Catalyst prunes the aggregates a caller does not select, so a query for one
 metric family reads and computes only what that family needs.
 
 The "latest event" metrics (time plus reason or status text) are maxima of
@@ -47,26 +46,6 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def _hot_customer_salt(order_rows: DataFrame) -> Column | None:
-    """Salt for per-order rows: spread over all shards for hot customers, 0 otherwise.
-
-    None when no customer is hot (then the rows are simply shuffled by customer).
-
-    A customer is hot when it has more orders than an average shard holds,
-    so there are at most ``shards`` of them (pigeonhole): the list fetched to
-    the driver is bounded by the shard count, whatever the data.  Two small
-    jobs over the order table's customer column.
-    """
-    shards = int(order_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = order_rows.count()
-    threshold = max(1, total // shards)
-    per_customer = order_rows.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = [r["customer_id"] for r in per_customer.filter(F.col("n") > threshold).limit(shards + 1).collect()]
-    if not hot:
-        return None
-    return F.when(F.col("customer_id").isin(hot), F.pmod(F.hash("order_nr"), F.lit(shards))).otherwise(F.lit(0))
-
-
 def _order_partials(flagged: DataFrame, ship_sla_days: int, refund_sla_days: int, event) -> DataFrame:
     item = F.col("id_sales_order_item")
     created = F.col("created_at")
@@ -196,27 +175,16 @@ def customer_metrics(
             *[bucket_mask(order_ts, kind).alias(f"mask_{kind}") for kind in BUCKETS],
         )
     else:
-        # Shuffle per-order rows by customer, splitting only the hot customers
-        # over all shards by order number.  Grouping by the salt as well is
-        # harmless (it is a function of the order number) and lets the
-        # aggregation reuse the (customer, salt) partitioning.
-        salt = _hot_customer_salt(order_rows)
-        if salt is None:
-            spread, keys = joined.repartition("customer_id"), ("customer_id", "order_nr")
-        else:
-            salted = joined.withColumn("_salt", salt)
-            spread, keys = salted.repartition("customer_id", "_salt"), ("customer_id", "order_nr", "_salt")
-        per_order_nr = (
-            spread.groupBy(*keys)
-            .agg(
-                *[F.sum(c).alias(c) for c in _SUMMED],
-                *[F.max(c).alias(c) for c in _MAXED],
-                F.bool_or("has_voucher").alias("has_voucher"),
-                F.bool_or("has_cart_rule").alias("has_cart_rule"),
-                F.max(status_event).alias("last_status"),
-                *[F.bit_or(bucket_mask(order_ts, kind)).alias(f"mask_{kind}") for kind in BUCKETS],
-            )
-            .drop("_salt")
+        # Spark combines each (customer, order number) group map-side, then
+        # shuffles by both keys: a hot customer, a hot order number or a pile
+        # of copies of one order is spread or reduced before any task sees it.
+        per_order_nr = joined.groupBy("customer_id", "order_nr").agg(
+            *[F.sum(c).alias(c) for c in _SUMMED],
+            *[F.max(c).alias(c) for c in _MAXED],
+            F.bool_or("has_voucher").alias("has_voucher"),
+            F.bool_or("has_cart_rule").alias("has_cart_rule"),
+            F.max(status_event).alias("last_status"),
+            *[F.bit_or(bucket_mask(order_ts, kind)).alias(f"mask_{kind}") for kind in BUCKETS],
         )
 
     order_nr = F.col("order_nr")

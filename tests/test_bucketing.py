@@ -24,7 +24,7 @@ def test_bucketed_orders_and_items_skip_the_order_shuffles(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         shuffles = lambda df: plan_summary(df)["hash_exchange"]
-        assert shuffles(plain) == 3  # items and orders by order id, per-order rows by customer
-        assert shuffles(bucketed) == 1
+        assert shuffles(plain) == 4  # items, orders by order id; (customer, order nr); customer
+        assert shuffles(bucketed) == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -46,18 +46,38 @@ def test_hot_customer_is_spread_before_the_customer_shuffle(spark):
     t = skewed(spark)
     text = plan_text(customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF), "simple")
     lines = text.splitlines()
-    # per-order rows are shuffled by (customer, salt): the hot customer is salted
-    assert any("hashpartitioning(customer_id" in line and "_salt" in line for line in lines), text
-    # and the customer level combines map-side before its own shuffle
-    assert "partial_sum" in text and "partial_max" in text
+    # per-order rows are shuffled by (customer, order number), not by customer alone
+    assert any("hashpartitioning(customer_id" in line and "order_nr" in line for line in lines), text
+    # and every level combines map-side before its shuffle
+    assert "partial_sum" in text and "partial_max" in text and "partial_bit_or" in text
 
 
-def test_without_hot_customers_one_shuffle_serves_both_levels(spark):
+def test_pile_of_copies_of_one_order_matches_sql(spark):
+    """A third of all order rows are copies of one order: map-side combining reduces them."""
     t = fixture_tables(spark, SF01)
-    text = plan_text(customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF), "simple")
-    assert "_salt" not in text
-    by_customer = [line for line in text.splitlines() if "Exchange hashpartitioning(customer_id" in line]
-    assert len(by_customer) == 1, by_customer
+    n_copies = 7500  # sf0.01 has 15,000 orders
+    hot_id = 7
+    copies = (
+        t["orders"].filter(F.col("id_sales_order") == hot_id)
+        .select("*", F.explode(F.sequence(F.lit(2), F.lit(n_copies))).alias("_copy")).drop("_copy")
+    )
+    orders = t["orders"].unionByName(copies)
+    got = customer_metrics(orders, t["items"], FIXTURE_AS_OF)
+    got = got.drop(*[c for c in got.columns if c.startswith("ratio_")])
+    s_cols, s_rows = normalise(got.columns, got.collect())
+
+    con = duck(SF01)
+    con.execute(
+        f"CREATE VIEW sales_order AS WITH {FIXTURE_CTES} "
+        f"SELECT id_sales_order, order_nr, customer_id, status, created_at FROM ("
+        f"SELECT so.*, unnest(CASE WHEN so.id_sales_order = {hot_id} THEN range({n_copies}) ELSE range(1) END) AS c "
+        f"FROM sales_order so)"
+    )
+    con.execute(f"CREATE VIEW sales_item AS WITH {FIXTURE_CTES} SELECT * FROM sales_item")
+    rel = con.execute(metrics_sql(fixture=False))
+    d_cols, d_rows = normalise([d[0] for d in rel.description], rel.fetchall())
+    assert s_cols == d_cols
+    assert s_rows == d_rows
 
 
 def test_require_email_drops_contacts_without_one(spark):
