@@ -64,3 +64,18 @@ def test_results_do_not_depend_on_adaptive_execution_or_partition_count(spark, c
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert result["values_match"], result["diff"]
+
+
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "timestamp_ntz": "TIMESTAMP"}
+
+
+def test_column_types_match_the_twins(spark, con):
+    mismatches = []
+    for name, query in entry.queries().items():
+        spark_types = dict(query(spark, SF01).dtypes)
+        rel = con.execute(f"SELECT * FROM ({TWINS[name]}) t LIMIT 0")
+        duck_types = {d[0]: str(d[1]) for d in rel.description}
+        mismatches += [(name, c, t, duck_types.get(c)) for c, t in spark_types.items()
+                       if SPARK_TO_DUCKDB.get(t, t) != duck_types.get(c)]
+    assert not mismatches
