@@ -71,6 +71,15 @@ EXPORT_FIELDS = (
     ("18163", _sci("ratio_moy_most_order")),
 )
 PAYLOAD_KEY_ID = "3"
+# Untagged count fields the source's contact objects also carried, after the
+# tagged ones; the source never filled them, so they were always 0.
+UNTAGGED_ZERO_FIELDS = (
+    "OrderCount",
+    "OrderCountHodMostOrder",
+    "OrderCountDowMostOrder",
+    "OrderCountDomMostOrder",
+    "OrderCountMoyMostOrder",
+)
 # ---------------------------------------------------------------------------
 
 FIELD_IDS = tuple(fid for fid, _ in EXPORT_FIELDS)
@@ -105,14 +114,18 @@ def _json_like_source(text: Column) -> Column:
     return text
 
 
-def contact_payloads(exported: DataFrame) -> DataFrame:
+def contact_payloads(exported: DataFrame, with_untagged_counts: bool = False) -> DataFrame:
     """``(batch_no, n_contacts, payload)``: one JSON document per batch.
 
     ``payload`` is ``{"key_id": "3", "contacts": [...]}`` with the contacts
     in ``batch_pos`` order.  A batch holds at most the batch size of rows,
-    so each group is small and bounded.
+    so each group is small and bounded.  ``with_untagged_counts`` appends the
+    five always-0 count fields to every contact, as the source's objects had.
     """
-    contact = F.struct(*[F.col(f"`{fid}`") for fid in FIELD_IDS])
+    fields = [F.col(f"`{fid}`") for fid in FIELD_IDS]
+    if with_untagged_counts:
+        fields += [F.lit(0).alias(name) for name in UNTAGGED_ZERO_FIELDS]
+    contact = F.struct(*fields)
     grouped = exported.groupBy("batch_no").agg(
         F.count(F.lit(1)).alias("n_contacts"),
         F.sort_array(F.collect_list(F.struct(F.col("batch_pos").alias("pos"), contact.alias("c")))).alias("rows"),

@@ -34,6 +34,7 @@ def run_contact_export(
     *,
     batch_size: int = 999,
     fmt: str = "parquet",
+    with_untagged_counts: bool = False,
     **contact_options,
 ) -> dict[str, int]:
     """Compute and write one payload row per batch; return contact and batch counts.
@@ -45,7 +46,7 @@ def run_contact_export(
     """
     contacts = build_contacts(tables, as_of, **contact_options)
     batched = assign_batches(contacts, "customer_id", batch_size)
-    payloads = contact_payloads(contact_export(batched, as_of))
+    payloads = contact_payloads(contact_export(batched, as_of), with_untagged_counts)
     write_payloads(payloads, out_path, fmt)
     written = spark.read.format(fmt).load(out_path)
     row = written.agg(F.count(F.lit(1)).alias("batches"), F.sum("n_contacts").alias("contacts")).first()
@@ -80,6 +81,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     parser.add_argument("--require-email", action="store_true")
     parser.add_argument("--match", choices=MATCH_MODES, default="exact")
     parser.add_argument("--unique-order-numbers", action="store_true")
+    parser.add_argument("--with-untagged-counts", action="store_true", help="add the always-0 count fields")
     args = parser.parse_args(argv)
 
     as_of = args.as_of or dt.datetime.now().replace(microsecond=0).isoformat(sep=" ")
@@ -102,6 +104,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
         require_email=args.require_email,
         match=args.match,
         unique_order_numbers=args.unique_order_numbers,
+        with_untagged_counts=args.with_untagged_counts,
     )
     print({"as_of": as_of, **stats})
     return stats

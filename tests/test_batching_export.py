@@ -103,3 +103,17 @@ def _typed_columns():
     from clientele.operators.contacts import CONTACT_COLUMNS
 
     return CONTACT_COLUMNS
+
+
+def test_payload_can_carry_the_untagged_zero_counts(spark):
+    from clientele.operators.batching import assign_batches
+    from clientele.operators.export import UNTAGGED_ZERO_FIELDS
+    from clientele.sources.fixtures import FIXTURE_AS_OF
+    from clientele.plans.registry import _contacts
+
+    batched = assign_batches(_contacts(spark, SF01), "customer_id", 999)
+    row = contact_payloads(contact_export(batched, FIXTURE_AS_OF), with_untagged_counts=True).first()
+    contact = json.loads(row["payload"])["contacts"][0]
+    assert list(contact) == list(FIELD_IDS) + list(UNTAGGED_ZERO_FIELDS)
+    assert all(contact[name] == 0 for name in UNTAGGED_ZERO_FIELDS)
+    assert ',"OrderCount":0,' in row["payload"]
