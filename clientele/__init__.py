@@ -12,10 +12,14 @@ from clientele.operators.events import last_event
 from clientele.operators.export import contact_export, contact_payloads, write_payloads
 from clientele.operators.facts import flag_items, item_facts
 from clientele.operators.habits import favourite_bucket
-from clientele.operators.metrics import customer_metrics, customer_profile
+from clientele.operators.metrics import active_customers, customer_metrics, customer_profile
+from clientele.plans.contact_job import build_contacts, run_contact_export
+from clientele.sources.tables import read_jdbc_table, read_table, save_bucketed
 
 __all__ = [
+    "active_customers",
     "assign_batches",
+    "build_contacts",
     "contact_export",
     "contact_payloads",
     "contact_table",
@@ -25,6 +29,10 @@ __all__ = [
     "flag_items",
     "item_facts",
     "last_event",
+    "read_jdbc_table",
+    "read_table",
     "recent_customer_emails",
+    "run_contact_export",
+    "save_bucketed",
     "write_payloads",
 ]
