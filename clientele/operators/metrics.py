@@ -129,6 +129,9 @@ def customer_metrics(
     ``reason_options`` go to ``flag_items`` (``bad_cancel_reasons``,
     ``bad_return_reasons``, ``match``).  ``text_code_limit`` bounds the
     reason and status dictionaries that may be broadcast (0: never code).
+    The dictionaries are read in their own small jobs, so ``orders`` and
+    ``items`` must give the same rows each time they are evaluated (stored
+    tables do); for a non-deterministic input pass ``text_code_limit=0``.
 
     ``unique_order_numbers=True`` states that no customer has two orders
     with the same non-NULL order number.  Level 2 is then an identity
