@@ -39,7 +39,9 @@ def last_event(
 
     When ``value`` has at most ``text_code_limit`` distinct texts, the
     maximum is taken over one fixed-width (time, text code) key instead, so
-    the aggregation is hash-based (see ``clientele.functions.encoding``).
+    the aggregation is hash-based (see ``clientele.functions.encoding``);
+    ``facts`` must then give the same rows each time it is evaluated (pass
+    ``text_code_limit=0`` otherwise).
     """
     rows = facts
     if require_ts:
