@@ -10,6 +10,7 @@ also warmed up once.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
@@ -44,10 +45,43 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _shuffle_mb(log_dir: str) -> dict[str, float]:
+    """Shuffle bytes written per timed query, from the event log (job group = query name)."""
+    stage_group: dict[int, str] = {}
+    written: dict[int, int] = {}
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path) or os.path.basename(path).startswith("appstatus"):
+            continue
+        with open(path, encoding="utf-8") as f:
+            for line in f:
+                event = json.loads(line)
+                kind = event.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (event.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group and group.startswith("timed:"):
+                        for sid in event.get("Stage IDs", []):
+                            stage_group[sid] = group[len("timed:"):]
+                elif kind == "SparkListenerStageCompleted":
+                    info = event["Stage Info"]
+                    for acc in info.get("Accumulables", []):
+                        if acc.get("Name") == "internal.metrics.shuffle.write.bytesWritten":
+                            written[info["Stage ID"]] = int(acc.get("Value") or 0)
+    totals: dict[str, float] = {}
+    for sid, group in stage_group.items():
+        totals[group] = totals.get(group, 0) + written.get(sid, 0)
+    return {k: round(v / 2**20, 2) for k, v in sorted(totals.items())}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    conf = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    log_dir = tempfile.mkdtemp(prefix="clientele-bench-events-", dir=os.environ.get("TMPDIR", "/tmp"))
+    conf = {
+        "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": log_dir,
+        "spark.eventLog.compress": "false",
+    }
     if os.environ.get("BENCH_JAVA_OPTS"):
         conf["spark.driver.extraJavaOptions"] = os.environ["BENCH_JAVA_OPTS"]
     spark = build_session(f"local[{cpus}]", app_name="clientele-bench", shuffle_partitions=max(cpus * 2, 8), extra_conf=conf)
@@ -55,9 +89,11 @@ def main() -> None:
     timings: dict[str, float] = {}
     for name in HEADLINE:
         _run(registry[name](spark, sf_dir))  # warm-up: JIT, file listing, codegen cache
+        spark.sparkContext.setJobGroup(f"timed:{name}", name)
         start = time.perf_counter()
         _run(registry[name](spark, sf_dir))
         timings[name] = round(time.perf_counter() - start, 3)
+        spark.sparkContext.setJobGroup("untimed", "untimed")
 
     # The same metrics over tables bucketed by order id (written once, untimed):
     # the per-order aggregation and the order join need no shuffle.
@@ -66,13 +102,17 @@ def main() -> None:
     buckets = max(cpus * 2, 8)
     orders = save_bucketed(tables["orders"], "bench_sales_order", "id_sales_order", buckets, f"{base}/orders")
     items = save_bucketed(tables["items"], "bench_sales_item", "fk_sales_order", buckets, f"{base}/items")
-    for _ in ("warm-up", "timed"):
+    for attempt in ("warm-up", "timed"):
+        group = "timed:customer_metrics_bucketed" if attempt == "timed" else "untimed"
+        spark.sparkContext.setJobGroup(group, group)
         start = time.perf_counter()
         _run(customer_metrics(orders, items, FIXTURE_AS_OF))
         timings["customer_metrics_bucketed"] = round(time.perf_counter() - start, 3)
 
     scratch = tempfile.mkdtemp(prefix="clientele-bench-", dir=os.environ.get("TMPDIR", "/tmp"))
     for attempt in ("warm-up", "timed"):
+        group = "timed:export_job" if attempt == "timed" else "untimed"
+        spark.sparkContext.setJobGroup(group, group)
         start = time.perf_counter()
         stats = run_contact_export(
             spark, fixture_tables(spark, sf_dir), FIXTURE_AS_OF, os.path.join(scratch, f"payloads-{attempt}")
@@ -80,21 +120,22 @@ def main() -> None:
         timings["export_job"] = round(time.perf_counter() - start, 3)
 
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
-    print(
-        json.dumps(
-            {
-                "metric": "total_headline_seconds",
-                "value": round(sum(timings.values()), 3),
-                "unit": "sec",
-                "queries": timings,
-                "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                "cpus": cpus,
-                "contacts": stats["contacts"],
-                "batches": stats["batches"],
-            }
-        )
-    )
     spark.stop()
+    result = {
+        "metric": "total_headline_seconds",
+        "value": round(sum(timings.values()), 3),
+        "unit": "sec",
+        "queries": timings,
+        "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+        "cpus": cpus,
+        "contacts": stats["contacts"],
+        "batches": stats["batches"],
+    }
+    try:
+        result["shuffle_mb"] = _shuffle_mb(log_dir)
+    except (OSError, ValueError, KeyError):
+        pass
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":
