@@ -138,6 +138,9 @@ def contact_payloads(exported: DataFrame, with_untagged_counts: bool = False) ->
 def write_payloads(payloads: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write the payload dataset; delivery to the receiving service is the consumer's job.
 
-    Rows are independent, so the write is parallel across tasks.
+    Rows are independent, so the write is parallel across tasks.  ``fmt="text"``
+    writes one payload document per line (the text sink takes one column).
     """
+    if fmt == "text":
+        payloads = payloads.select("payload")
     payloads.write.mode(mode).format(fmt).save(path)

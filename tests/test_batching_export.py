@@ -117,3 +117,18 @@ def test_payload_can_carry_the_untagged_zero_counts(spark):
     assert list(contact) == list(FIELD_IDS) + list(UNTAGGED_ZERO_FIELDS)
     assert all(contact[name] == 0 for name in UNTAGGED_ZERO_FIELDS)
     assert ',"OrderCount":0,' in row["payload"]
+
+
+def test_payload_sinks(spark):
+    import uuid
+
+    from clientele.operators.export import write_payloads
+    from clientele.session import checkpoint_dir
+
+    payloads = queries()["contact_payloads"](spark, SF01)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/sinks-{uuid.uuid4().hex}"
+    write_payloads(payloads, f"{base}/json", "json")
+    write_payloads(payloads, f"{base}/text", "text")
+    assert spark.read.json(f"{base}/json").count() == 4
+    docs = [json.loads(r["value"]) for r in spark.read.text(f"{base}/text").collect()]
+    assert sorted(len(d["contacts"]) for d in docs) == [25, 50, 50, 50]
