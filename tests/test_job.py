@@ -38,3 +38,16 @@ def test_job_require_email_and_unique_numbers(spark):
         "--out", out, "--as-of", FIXTURE_AS_OF, "--require-email", "--unique-order-numbers",
     ])
     assert stats == {"batches": 1, "contacts": 164}
+
+
+def test_job_text_output(spark):
+    t = fixture_tables(spark, SF01)
+    out = f"{checkpoint_dir(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
+    stats = main([
+        "--orders", _dir(t["orders"]), "--items", _dir(t["items"]),
+        "--customers", _dir(t["customers"]), "--storefront-orders", _dir(t["storefront_orders"]),
+        "--out", out, "--out-format", "text", "--as-of", FIXTURE_AS_OF, "--batch-size", "100",
+    ])
+    assert stats == {"batches": 2, "contacts": 175}
+    docs = [json.loads(r["value"]) for r in spark.read.text(out).collect()]
+    assert sorted(len(d["contacts"]) for d in docs) == [75, 100]
