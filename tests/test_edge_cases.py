@@ -183,3 +183,21 @@ def test_too_many_texts_fall_back_to_struct_maxima(spark):
     a = last_event(facts, "returned_at", "return_reason", text_code_limit=1)
     b = last_event(facts, "returned_at", "return_reason")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_reason_lists_matching_mode_and_sla_days_are_parameters(spark):
+    d = T(2020, 1, 5)
+    orders = [(1, "A", 7, "F", d)]
+    items = [
+        item(1, 1, d, canceled_at=d, cancel_reason="lost in warehouse ", shipped_at=d + dt.timedelta(hours=50)),
+        item(2, 1, d, canceled_at=d - dt.timedelta(hours=1), cancel_reason="Custom reason"),
+    ]
+    o, i = frames(spark, orders, items)
+    exact = customer_metrics(o, i, AS_OF).first()
+    ci = customer_metrics(o, i, AS_OF, match="ci").first()
+    custom = customer_metrics(o, i, AS_OF, bad_cancel_reasons=["Custom reason"]).first()
+    strict = customer_metrics(o, i, AS_OF, ship_sla_days=1).first()
+    assert exact["bad_cancellation_ratio"] == 0.0 and exact["last_bad_cancel_date"] is None
+    assert ci["bad_cancellation_ratio"] == 0.5 and ci["last_bad_cancel_reason"] == "lost in warehouse "
+    assert custom["last_bad_cancel_reason"] == "Custom reason"
+    assert exact["ship_broken_sla_ratio"] == 0.0 and strict["ship_broken_sla_ratio"] == 0.5
