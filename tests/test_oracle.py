@@ -79,3 +79,14 @@ def test_column_types_match_the_twins(spark, con):
         mismatches += [(name, c, t, duck_types.get(c)) for c, t in spark_types.items()
                        if SPARK_TO_DUCKDB.get(t, t) != duck_types.get(c)]
     assert not mismatches
+
+
+def test_fixture_figures_at_sf01_scale(spark):
+    sf = "/root/testdata/sf0.1"
+    q = entry.queries()
+    contacts = q["contact_table"](spark, sf)
+    assert contacts.count() == 1720 and contacts.filter("email is null").count() == 97
+    counts = {n: q[n](spark, sf).count() for n in
+              ("last_cancel", "last_bad_cancel", "last_return", "last_bad_return", "last_order_status")}
+    assert counts == {"last_cancel": 14833, "last_bad_cancel": 14120, "last_return": 14983,
+                      "last_bad_return": 14851, "last_order_status": 14998}
