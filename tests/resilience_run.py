@@ -22,9 +22,14 @@ from clientele.session import build_session  # noqa: E402
 from clientele.sources.fixtures import FIXTURE_AS_OF, fixture_tables  # noqa: E402
 
 
+MARKERS = os.environ.get("CLIENTELE_FAILURE_MARKERS", "")
+
+
 def _flaky_true(_):
     ctx = TaskContext.get()
     if ctx.attemptNumber() == 0 and ctx.partitionId() == 0:
+        if MARKERS:  # local-mode test: leave a trace that the failure happened
+            open(os.path.join(MARKERS, f"stage-{ctx.stageId()}"), "w").close()
         raise RuntimeError("injected task failure")
     return True
 
