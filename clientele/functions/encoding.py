@@ -79,6 +79,26 @@ def text_codes(texts: DataFrame, limit: int = DEFAULT_CODE_LIMIT) -> TextCodes |
     return TextCodes(tuple(sorted(r["text"] for r in rows)))
 
 
+def text_codes_by_kind(tagged: DataFrame, limit: int = DEFAULT_CODE_LIMIT) -> dict[str, TextCodes | None]:
+    """``text_codes`` for several text sets in one job.
+
+    ``tagged`` has columns ``kind`` and ``text``; each kind gets its own
+    dictionary, or None when it has more than ``limit`` distinct texts (or
+    when the bounded fetch cannot tell).
+    """
+    vocab = tagged.filter(F.col("text").isNotNull()).select("kind", "text").distinct()
+    cap = 2 * limit + 2
+    rows = vocab.limit(cap + 1).collect()
+    found: dict[str, list[str]] = {}
+    for r in rows:
+        found.setdefault(r["kind"], []).append(r["text"])
+    complete = len(rows) <= cap
+    return {
+        kind: TextCodes(tuple(sorted(texts))) if complete and len(texts) <= limit else None
+        for kind, texts in found.items()
+    }
+
+
 def event_key(ts: Column, code: Column, null_time_last: bool = False) -> Column:
     """``micros(ts) * 10**6 + code`` as DECIMAL(38,0); NULL ``ts`` gives NULL.
 

@@ -33,7 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.buckets import BUCKETS, bucket_mask, favourite_from_counts
-from clientele.functions.encoding import DEFAULT_CODE_LIMIT, event_key, key_code, key_time, text_codes
+from clientele.functions.encoding import (
+    DEFAULT_CODE_LIMIT,
+    TextCodes,
+    event_key,
+    key_code,
+    key_time,
+    text_codes_by_kind,
+)
 from clientele.functions.timefns import as_of_literal, minus_days, plus_days
 from clientele.operators.facts import flag_items, order_attributes
 
@@ -144,10 +151,11 @@ def customer_metrics(
     order_rows = order_attributes(orders)
     reasons = statuses = None
     if text_code_limit > 0:
-        reasons = text_codes(
-            items.select(F.explode(F.array("cancel_reason", "return_reason")).alias("reason")), text_code_limit
-        )
-        statuses = text_codes(orders.select("status"), text_code_limit) if reasons is not None else None
+        tagged = items.select(
+            F.lit("reason").alias("kind"), F.explode(F.array("cancel_reason", "return_reason")).alias("text")
+        ).unionByName(orders.select(F.lit("status").alias("kind"), F.col("status").alias("text")))
+        codes = text_codes_by_kind(tagged, text_code_limit)
+        reasons, statuses = codes.get("reason", TextCodes(())), codes.get("status", TextCodes(()))
     coded = reasons is not None and statuses is not None
     order_ts = F.col("order_created_at")
     if coded:
