@@ -8,7 +8,6 @@ hot path, filters reaching the scan.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 from pyspark.sql import DataFrame
 
@@ -45,8 +44,3 @@ def plan_summary(df: DataFrame) -> dict[str, int]:
 def scan_filters(df: DataFrame) -> list[str]:
     """``PushedFilters`` of every file scan in the plan."""
     return re.findall(r"PushedFilters: \[([^\]]*)\]", plan_text(df, "formatted"))
-
-
-def node_counts(df: DataFrame) -> Counter:
-    text = plan_text(df, "simple")
-    return Counter(m.group(1) for m in re.finditer(r"[+:-]+\s*([A-Z][A-Za-z]+)", text))
