@@ -201,3 +201,21 @@ def test_reason_lists_matching_mode_and_sla_days_are_parameters(spark):
     assert ci["bad_cancellation_ratio"] == 0.5 and ci["last_bad_cancel_reason"] == "lost in warehouse "
     assert custom["last_bad_cancel_reason"] == "Custom reason"
     assert exact["ship_broken_sla_ratio"] == 0.0 and strict["ship_broken_sla_ratio"] == 0.5
+
+
+def test_undefined_metrics_export_as_empty_text(spark):
+    from clientele.operators.contacts import contact_table
+    from clientele.operators.export import contact_export
+
+    d = T(2020, 1, 8)
+    o, i = frames(spark, [(1, None, 7, "F", d)], [item(1, 1, d)])
+    metrics = customer_metrics(o, i, AS_OF)
+    m = metrics.first()
+    assert m["order_count"] == 0 and m["avg_basket_size"] is None and m["order_voucher_ratio"] is None
+    assert m["hour_of_day_most_order"] is None and m["avg_item_price"] == 10.0
+    emails = spark.createDataFrame([], "customer_id long, email string")
+    row = contact_export(contact_table(metrics, emails, AS_OF), AS_OF).first().asDict()
+    assert row["3"] == "" and row["4819"] == "7" and row["18126"] == "10.0"
+    for fid in ("18130", "18146", "18147", "18156", "18157", "18158", "18159"):
+        assert row[fid] == "", (fid, row[fid])
+    assert row["18125"] == "2020-01-10"
