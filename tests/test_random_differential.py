@@ -15,8 +15,12 @@ import pandas as pd
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
+from clientele.functions.reasons import BAD_RETURN_REASONS
+from clientele.operators.events import last_event
+from clientele.operators.facts import item_facts
+from clientele.operators.habits import favourite_bucket
 from clientele.operators.metrics import customer_metrics
-from clientele.plans.sql_twins import AS_OF, metrics_sql
+from clientele.plans.sql_twins import AS_OF, EVENT_CTES, IL_CTE, _bucket_cte, _with, metrics_sql
 from clientele.sources.fixtures import FIXTURE_AS_OF
 from oracle import normalise
 
@@ -54,6 +58,8 @@ item_st = st.fixed_dictionaries(
     }
 )
 
+BAD_RETURNS = BAD_RETURN_REASONS
+
 ORDER_SCHEMA = "id_sales_order long, order_nr string, customer_id long, status string, created_at timestamp_ntz"
 ITEM_SCHEMA = (
     "id_sales_order_item long, fk_sales_order long, unit_price decimal(18,2), coupon_money_value double, "
@@ -115,3 +121,24 @@ def test_fused_metrics_equal_reference_sql(spark, orders, items, code_limit):
         if a[k] != b[k]
     ]
     assert len(s_rows) == len(d_rows) and not diff, (len(s_rows), len(d_rows), diff[:8])
+
+    # the standalone operators on the same rows, against their SQL twins
+    facts = item_facts(o, i, FIXTURE_AS_OF)
+    checks = {
+        "last_bad_return": (
+            last_event(facts, "returned_at", "return_reason", only=BAD_RETURNS, text_code_limit=code_limit,
+                       ts_alias="last_bad_return_date", value_alias="last_bad_return_reason"),
+            f"{_with(IL_CTE, EVENT_CTES['last_bad_return'], fixture=False)}\n"
+            "SELECT customer_id, last_bad_return_date, last_bad_return_reason FROM last_bad_return",
+        ),
+        "favourite_hour": (
+            favourite_bucket(facts, "hour"),
+            f"{_with(IL_CTE, _bucket_cte('hour'), fixture=False)}\n"
+            "SELECT customer_id, hour_of_day_most_order, order_count_hod_most_order FROM fav_hour",
+        ),
+    }
+    for name, (df, sql) in checks.items():
+        s_cols, s_rows = normalise(df.columns, df.collect())
+        rel = con.execute(sql)
+        d_cols, d_rows = normalise([d[0] for d in rel.description], rel.fetchall())
+        assert (s_cols, s_rows) == (d_cols, d_rows), name
