@@ -75,14 +75,16 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
         parser.add_argument(f"--{name}", required=True, help=f"path of the {name.replace('-', ' ')} table")
     parser.add_argument("--format", default="parquet", help="format of the input tables")
     parser.add_argument("--out", required=True, help="where the payload dataset is written")
-    parser.add_argument("--out-format", default="parquet")
+    parser.add_argument("--out-format", default="parquet", help="parquet, json or text (one document per line)")
     parser.add_argument("--as-of", default=None, help="'YYYY-MM-DD HH:MM:SS' (default: now)")
-    parser.add_argument("--batch-size", type=int, default=999)
-    parser.add_argument("--active-days", type=int, default=30)
-    parser.add_argument("--email-days", type=int, default=90)
-    parser.add_argument("--require-email", action="store_true")
-    parser.add_argument("--match", choices=MATCH_MODES, default="exact")
-    parser.add_argument("--unique-order-numbers", action="store_true")
+    parser.add_argument("--batch-size", type=int, default=999, help="contacts per payload")
+    parser.add_argument("--active-days", type=int, default=30, help="latest verified item at most this old")
+    parser.add_argument("--email-days", type=int, default=90, help="storefront order window for e-mails")
+    parser.add_argument("--require-email", action="store_true", help="drop contacts without e-mail")
+    parser.add_argument("--match", choices=MATCH_MODES, default="exact", help="reason matching (ci: case, trailing blanks)")
+    parser.add_argument(
+        "--unique-order-numbers", action="store_true", help="order numbers are unique per customer (one shuffle fewer)"
+    )
     parser.add_argument("--with-untagged-counts", action="store_true", help="add the always-0 count fields")
     args = parser.parse_args(argv)
 
