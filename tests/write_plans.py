@@ -26,6 +26,7 @@ def main():
         text = plan_text(df, "simple")
         body = text.split("== Physical Plan ==", 1)[-1].strip("\n")
         body = re.sub(r"#\d+L?", "", body)
+        body = re.sub(r", \[plan_id=\d+\]", "", body)
         lines = [l if len(l) <= 150 else l[:147] + "..." for l in body.splitlines()]
         out += [f"## `{name}`", "",
                 f"Shuffles: {s['hash_exchange']} hash, {s['range_exchange']} range, "
