@@ -6,7 +6,7 @@ import sys
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-from clientele.plans.inspect import plan_summary, plan_text  # noqa: E402
+from clientele.plans.inspect import plan_summary, plan_text, scan_filters  # noqa: E402
 from clientele.plans.registry import queries  # noqa: E402
 from clientele.session import build_session  # noqa: E402
 
@@ -32,7 +32,10 @@ def main():
                 f"Shuffles: {s['hash_exchange']} hash, {s['range_exchange']} range, "
                 f"{s['single_partition_exchange']} single-partition (bounded), {s['broadcast_exchange']} broadcast "
                 f"(bounded: dictionaries or per-shard offsets). Sort-merge joins: {s['sort_merge_join']}.", "",
-                "```", *lines, "```", ""]
+                "Filters pushed to the scans: "
+            + ("; ".join(f"[{f}]" for f in scan_filters(df) if f) or "none (no file scan; reads a checkpoint)")
+            + ".", "",
+            "```", *lines, "```", ""]
     open(os.path.join(ROOT, "PLANS.md"), "w").write("\n".join(out))
     print("ok", sum(len(l) for l in out))
 
