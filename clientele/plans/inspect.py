@@ -1,6 +1,6 @@
 """Read a DataFrame's physical plan: exchanges, joins, Python nodes.
 
-Used by the plan tests and the bench to keep the plan honest: no
+Used by the plan tests and the PLANS.md writer to keep the plan honest: no
 single-partition exchange over customer-sized data, no Python UDF in the
 hot path, filters reaching the scan.
 """
