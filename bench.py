@@ -5,7 +5,9 @@ Runs the registered queries at ``$BENCH_SF_DIR`` (default
 full with the ``noop`` sink (all rows computed, nothing sent to the
 driver), once to warm up and once timed; ``export_job`` runs the whole
 export (contacts -> batches -> payloads -> parquet) into a scratch folder,
-also warmed up once.
+also warmed up once; ``customer_metrics_bucketed`` repeats the metrics over
+tables bucketed by order id.  ``shuffle_mb`` is the shuffle bytes each timed
+query wrote, read from Spark's event log in a scratch folder.
 """
 
 from __future__ import annotations
