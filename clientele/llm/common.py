@@ -53,8 +53,8 @@ def map_batches(
 ) -> DataFrame:
     """Apply ``fn`` to lists of column values, one Arrow batch at a time.
 
-    ``fn`` gets one list per input column and returns one list per output
-    column; the number of rows may differ.
+    ``fn`` gets one list per input column and returns one list or Arrow array
+    per output column; the number of rows may differ.
     """
     small_batches(df.sparkSession)
     out_schema = _arrow_schema(df.sparkSession, schema)
@@ -63,9 +63,11 @@ def map_batches(
         for batch in batches:
             if batch.num_rows:
                 columns = fn([c.to_pylist() for c in batch.columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(columns, out_schema, strict=True)], schema=out_schema
-                )
+                arrays = [
+                    c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
+                    for c, f in zip(columns, out_schema, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
 
     return df.mapInArrow(run, schema)
 
