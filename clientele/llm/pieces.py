@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from clientele.llm.common import map_batches
 
 MARK = "▁"  # stands for a blank
-#: Base of the polynomial hash of pieces: any odd number of 64 bits.
+#: Base of the polynomial hash of pieces: any odd number of 64 bits; and its mixer.
 _BASE = 0x9E3779B97F4A7C15
+_MIX = 0xD6E8FEB86659FD93
 #: Longer words are solved one by one.
 _MANY_LENGTH = 32
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -74,7 +75,7 @@ class PieceModel:
         self.table_hash = np.zeros(1 << self.table_bits, np.uint64)
         self.table_row = np.zeros(1 << self.table_bits, np.int32)  # row 0: no piece
         for row, h in enumerate(hashes.tolist(), 1):
-            slot = h >> (64 - self.table_bits)
+            slot = int(self._slot(np.array([h], np.uint64))[0])
             while self.table_row[slot]:
                 slot = (slot + 1) % (1 << self.table_bits)
             self.table_hash[slot], self.table_row[slot] = h, row
@@ -97,8 +98,12 @@ class PieceModel:
             h = (h * _BASE + ord(c) + 1) & (2**64 - 1)
         return h
 
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(_MIX)
+        return mixed >> np.uint64(64 - self.table_bits)
+
     def _most_probes(self, hashes: np.ndarray) -> int:
-        slots, left, n = hashes >> np.uint64(64 - self.table_bits), np.ones(len(hashes), bool), 0
+        slots, left, n = self._slot(hashes), np.ones(len(hashes), bool), 0
         while left.any():
             left &= self.table_hash[slots] != hashes
             slots = (slots + np.uint64(1)) % np.uint64(1 << self.table_bits)
@@ -107,7 +112,7 @@ class PieceModel:
 
     def _lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Row of the piece with each hash, 0 where there is none."""
-        slots = hashes >> np.uint64(64 - self.table_bits)
+        slots = self._slot(hashes)
         out = np.where(self.table_hash[slots] == hashes, self.table_row[slots], 0)
         open_ = np.flatnonzero((out == 0) & (self.table_row[slots] != 0))  # another piece sits there
         for _ in range(self.probes):

@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clientele.llm.decontaminate import benchmark_leaks
 from clientele.llm.language_id import language_id
 from clientele.llm.licenses import license_scan
+from clientele.llm.near_documents import near_documents
+from clientele.llm.pieces import encode_pieces
 from clientele.llm.quality import quality_rules
+from clientele.llm.sharding import pack_shards
 from clientele.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,12 +28,35 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op3_pack_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_shards(_table(spark, sf_dir, "documents"))
+
+
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(_table(spark, sf_dir, "documents"), model, with_ids=False)
+    return encoded.select(
+        "doc_id", "n_bytes", "n_pieces", "ids_crc32", F.col("best.score").alias("best_scores"),
+        F.col("best.n_pieces").alias("best_pieces"), "round_trip",
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
@@ -40,7 +68,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
+        "op3_pack_shards": op3_pack_shards,
+        "op4_benchmark_leaks": op4_benchmark_leaks,
+        "op5_encode_pieces": op5_encode_pieces,
         "op6_token_counts": op6_token_counts,
+        "op8_near_documents": op8_near_documents,
         "op9_language_id": op9_language_id,
         "op10_quality_rules": op10_quality_rules,
     }
