@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm.decontaminate import benchmark_leaks
+from clientele.llm.fuzzy_lines import fuzzy_line_dedup
 from clientele.llm.language_id import language_id
 from clientele.llm.licenses import license_scan
 from clientele.llm.near_documents import near_documents
@@ -28,6 +29,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = fuzzy_line_dedup(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_pack_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_shards(_table(spark, sf_dir, "documents"))
 
@@ -68,6 +74,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
+        "op2_fuzzy_lines": op2_fuzzy_lines,
         "op3_pack_shards": op3_pack_shards,
         "op4_benchmark_leaks": op4_benchmark_leaks,
         "op5_encode_pieces": op5_encode_pieces,
