@@ -11,6 +11,7 @@ from clientele.llm.decontaminate import benchmark_leaks
 from clientele.llm.fuzzy_lines import fuzzy_line_dedup
 from clientele.llm.language_id import language_id
 from clientele.llm.licenses import license_scan
+from clientele.llm.long_repeats import remove_repeats
 from clientele.llm.near_documents import near_documents
 from clientele.llm.pieces import encode_pieces
 from clientele.llm.quality import quality_rules
@@ -59,6 +60,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(_table(spark, sf_dir, "documents"))
 
@@ -79,6 +85,7 @@ def queries() -> dict[str, Query]:
         "op4_benchmark_leaks": op4_benchmark_leaks,
         "op5_encode_pieces": op5_encode_pieces,
         "op6_token_counts": op6_token_counts,
+        "op7_long_repeats": op7_long_repeats,
         "op8_near_documents": op8_near_documents,
         "op9_language_id": op9_language_id,
         "op10_quality_rules": op10_quality_rules,
