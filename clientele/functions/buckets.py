@@ -45,25 +45,3 @@ def bucket(kind: str) -> Bucket:
         return BUCKETS[kind]
     except KeyError:
         raise ValueError(f"unknown bucket {kind!r}; expected one of {sorted(BUCKETS)}") from None
-
-
-def bucket_mask(ts: Column, kind: str) -> Column:
-    """Bit ``v`` set when ``ts`` falls in bucket value ``v`` (NULL ts -> no bit).
-
-    OR-ed over an order group, the mask records every bucket the group's
-    orders fell in, in one BIGINT (all bucket values are below 64).
-    """
-    part = bucket(kind).part(ts)
-    return F.when(part.isNotNull(), F.call_function("shiftleft", F.lit(1).cast("bigint"), part)).otherwise(F.lit(0).cast("bigint"))
-
-
-def favourite_from_counts(counts: dict[int, str]) -> Column:
-    """Struct ``(n, neg_value)`` of the bucket with most orders; ties go to the smallest value.
-
-    ``counts`` maps each bucket value to the name of its count column.
-    ``greatest`` over structs compares the count first, then ``-value``, so
-    the smallest value wins a tie.  The source SQL ranked by the count only
-    and so broke ties arbitrarily; this rule makes runs repeatable.
-    """
-    structs = ", ".join(f"named_struct('n', `{n}`, 'neg_value', {-v})" for v, n in counts.items())
-    return F.expr(f"greatest({structs})")

@@ -14,10 +14,10 @@ def as_of_literal(as_of: dt.datetime | str) -> Column:
     The source job read the clock separately in every statement; one explicit
     value makes a run repeatable and keeps all metrics consistent.
     """
-    if isinstance(as_of, dt.datetime):
-        as_of = as_of.replace(tzinfo=None).isoformat(sep=" ")
-    else:
-        dt.datetime.fromisoformat(as_of)  # reject malformed input early
+    at = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(as_of)
+    if at.tzinfo is not None:
+        raise ValueError(f"as_of must be a wall-clock time without a zone: {as_of}")
+    as_of = at.isoformat(sep=" ")
     # From text, so neither the Python process's nor the session's time zone
     # can shift the value.
     return F.lit(as_of).cast("timestamp_ntz")

@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.encoding import DEFAULT_CODE_LIMIT, event_key, key_code, key_time, text_codes
 from clientele.functions.reasons import is_listed
 
 
@@ -22,7 +21,6 @@ def last_event(
     require_ts: bool = True,
     ts_alias: str | None = None,
     value_alias: str | None = None,
-    text_code_limit: int = DEFAULT_CODE_LIMIT,
 ) -> DataFrame:
     """Per ``key``: the latest ``ts`` and, at that instant, the largest ``value``.
 
@@ -36,27 +34,12 @@ def last_event(
     ``only`` keeps just the events whose value is listed (the "bad" reasons);
     customers without such an event get no row.  With ``require_ts=False``
     rows with a NULL time stay in and lose to any real time.
-
-    When ``value`` has at most ``text_code_limit`` distinct texts, the
-    maximum is taken over one fixed-width (time, text code) key instead, so
-    the aggregation is hash-based (see ``clientele.functions.encoding``);
-    ``facts`` must then give the same rows each time it is evaluated (pass
-    ``text_code_limit=0`` otherwise).
     """
     rows = facts
     if require_ts:
         rows = rows.filter(F.col(ts).isNotNull())
     if only is not None:
         rows = rows.filter(is_listed(F.col(value), only, match))
-    codes = text_codes(rows.select(value), text_code_limit) if text_code_limit > 0 else None
-    if codes is not None:
-        k = event_key(F.col(ts), codes.code(F.col(value)), null_time_last=not require_ts)
-        latest = rows.groupBy(key).agg(F.max(k).alias("k"))
-        return latest.select(
-            key,
-            key_time(F.col("k")).alias(ts_alias or ts),
-            codes.text(key_code(F.col("k"))).alias(value_alias or value),
-        )
     latest = rows.groupBy(key).agg(F.max(F.struct(F.col(ts).alias("at"), F.col(value).alias("value"))).alias("e"))
     return latest.select(
         key,

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from clientele.functions.reasons import BAD_CANCEL_REASONS, BAD_RETURN_REASONS, reason_flag
 from clientele.functions.timefns import as_of_literal, sla_broken
 
-ORDER_COLUMNS = ("id_sales_order", "customer_id", "order_nr", "status", "order_created_at")
-
 
 def flag_items(
     items: DataFrame,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.buckets import bucket
+from clientele.functions.buckets import BUCKETS, bucket
 
 
 def favourite_bucket(
@@ -41,3 +41,48 @@ def favourite_bucket(
         (F.lit(63) - F.pmod(F.col("top"), F.lit(64))).cast("int").alias(spec.column),
         F.floor(F.col("top") / F.lit(64)).cast("bigint").alias(spec.count_column),
     )
+
+
+def order_habits(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Per customer: the favourite bucket of every kind and its count of distinct orders.
+
+    Only orders with a verified item count.  Each order gives one row per kind,
+    numbered ``64 * kind + bucket``; distinct orders are counted per customer and
+    number in two levels, and one maximum per kind picks the winner, as in
+    ``favourite_bucket``.  Customers without a dated order have no row.
+    """
+    verified = (
+        items.filter(F.col("finance_verified_at").isNotNull())
+        .select(F.col("fk_sales_order").alias("id_sales_order"))
+        .distinct()
+    )
+    ts = F.col("created_at")
+    rows = (
+        orders.filter(F.col("customer_id").isNotNull() & ts.isNotNull())
+        .select("id_sales_order", "customer_id", "order_nr", "created_at")
+        .distinct()
+        .join(verified, "id_sales_order", "left_semi")
+    )
+    numbered = F.array(*[spec.part(ts) + F.lit(64 * k) for k, spec in enumerate(BUCKETS.values())])
+    counts = (
+        rows.select("customer_id", "order_nr", F.explode(numbered).alias("number"))
+        .groupBy("customer_id", "number")
+        .agg(F.count_distinct("order_nr").alias("n"))
+        .filter(F.col("n") > 0)
+    )
+    kind = F.floor(F.col("number") / F.lit(64))
+    packed = F.col("n") * F.lit(64) + (F.lit(63) - F.pmod(F.col("number"), F.lit(64)))
+    top = counts.groupBy("customer_id").agg(
+        *[F.max(F.when(kind == k, packed)).alias(f"top_{name}") for k, name in enumerate(BUCKETS)]
+    )
+    return top.select(
+        "customer_id",
+        *[
+            column
+            for name, spec in BUCKETS.items()
+            for column in (
+                (F.lit(63) - F.pmod(F.col(f"top_{name}"), F.lit(64))).cast("int").alias(spec.column),
+                F.floor(F.col(f"top_{name}") / F.lit(64)).cast("bigint").alias(spec.count_column),
+            )
+        ],
+    )

@@ -5,26 +5,23 @@ each grouping by customer.  Here the metrics are folded into three
 aggregation levels that every metric can be split into:
 
 1. **per order** (``fk_sales_order``): items are combined before the join,
-   so the item table is shuffled as per-order partial rows, not item rows;
+   and so are rows of one order, so neither an order with very many items nor
+   a pile of copies of one order is shuffled row by row;
 2. **per (customer, order number)**: exact distinct-order counts, including
-   the conditional ones (voucher / cart-rule orders) and the calendar
-   buckets, without the ``Expand`` that several ``COUNT(DISTINCT ...)``
-   would need;
-3. **per customer**: sums, maxima and bucket tallies.
+   the conditional ones (voucher / cart-rule orders), without the ``Expand``
+   that several ``COUNT(DISTINCT ...)`` would need;
+3. **per customer**: sums and maxima.
 
 Each level is an ordinary ``groupBy().agg()``, so Spark aggregates
 partially before every shuffle, and level 2 is keyed by (customer, order
-number): a customer, an order or a pile of copies holding a third of all rows
-is spread or reduced to one row per map task before it reaches a reducer.
-Catalyst prunes the aggregates a caller does not select, so a query for one
-metric family reads and computes only what that family needs.
-
-The "latest event" metrics (time plus reason or status text) are maxima of
-one fixed-width number per event - time and an order-preserving text code,
-see ``clientele.functions.encoding`` - so every level runs as a hash
-aggregate with whole-stage codegen.  When a text column has too many
-distinct values to broadcast its dictionary, the metrics fall back to
-``max(struct(time, text))`` (sort-based aggregation, same results).
+number): a customer or an order holding a third of all rows is spread or
+reduced to one row per map task before it reaches a reducer.  Catalyst prunes
+the aggregates a caller does not select, so a query for one metric family
+reads and computes only what that family needs.
+
+The "latest event" metrics are ``max(struct(time, text))``.  The calendar
+habits need only order columns and come from a narrow branch of their own
+(``order_habits``), joined by customer.
 """
 
 from __future__ import annotations
@@ -32,17 +29,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.buckets import BUCKETS, bucket_mask, favourite_from_counts
-from clientele.functions.encoding import (
-    DEFAULT_CODE_LIMIT,
-    TextCodes,
-    event_key,
-    key_code,
-    key_time,
-    text_codes_by_kind,
-)
 from clientele.functions.timefns import as_of_literal, minus_days, plus_days
 from clientele.operators.facts import flag_items, order_attributes
+from clientele.operators.habits import order_habits
 
 
 def _event(at: Column, value: Column) -> Column:
@@ -53,7 +42,10 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def _order_partials(flagged: DataFrame, ship_sla_days: int, refund_sla_days: int, event) -> DataFrame:
+def _order_partials(flagged: DataFrame, ship_sla_days: int, refund_sla_days: int) -> DataFrame:
+    def event(ts: str, kind: str) -> Column:
+        return _event(F.col(ts), F.col(f"{kind}_reason"))
+
     item = F.col("id_sales_order_item")
     created = F.col("created_at")
     # A NULL voucher value counts as used: ``NULL = 0`` is not true.
@@ -119,6 +111,40 @@ _MAXED = (
 )
 
 
+def orders_of_active_customers(orders: DataFrame, items: DataFrame, as_of, active_days: int = 30) -> DataFrame:
+    """The orders of customers with a verified item at most ``active_days`` days before ``as_of``.
+
+    ``max(created_at) >= X`` holds exactly when some verified item has
+    ``created_at >= X``, so active customers are known from one narrow scan with
+    both filters pushed down, before any metric is computed.  All orders of an
+    active customer stay.
+    """
+    since = minus_days(as_of_literal(as_of), active_days)
+    recent = (
+        items.filter(F.col("finance_verified_at").isNotNull() & (F.col("created_at") >= since))
+        .select(F.col("fk_sales_order").alias("id_sales_order"))
+        .distinct()
+    )
+    active = (
+        orders.filter(F.col("customer_id").isNotNull())
+        .select("id_sales_order", "customer_id")
+        .join(recent, "id_sales_order", "left_semi")
+        .select("customer_id")
+        .distinct()
+    )
+    return orders.join(active, "customer_id", "left_semi")
+
+
+def _combined_orders(orders: DataFrame) -> DataFrame:
+    """One row per order, customer and number: how many rows it stands for, and the latest status."""
+    status = _event(F.col("order_created_at"), F.col("status"))
+    return (
+        order_attributes(orders)
+        .groupBy("id_sales_order", "customer_id", "order_nr")
+        .agg(F.count(F.lit(1)).alias("n_copies"), F.max(status).alias("last_status"))
+    )
+
+
 def customer_metrics(
     orders: DataFrame,
     items: DataFrame,
@@ -126,87 +152,36 @@ def customer_metrics(
     *,
     ship_sla_days: int = 3,
     refund_sla_days: int = 7,
-    text_code_limit: int = DEFAULT_CODE_LIMIT,
-    unique_order_numbers: bool = False,
+    habits: bool = True,
     **reason_options,
 ) -> DataFrame:
     """One typed row per customer with at least one verified item.
 
-    No recency filter: ``customer_profile`` and ``contact_table`` apply it.
-    ``reason_options`` go to ``flag_items`` (``bad_cancel_reasons``,
-    ``bad_return_reasons``, ``match``).  ``text_code_limit`` bounds the
-    reason and status dictionaries that may be broadcast (0: never code).
-    The dictionaries are read in their own small jobs, so ``orders`` and
-    ``items`` must give the same rows each time they are evaluated (stored
-    tables do); for a non-deterministic input pass ``text_code_limit=0``.
-
-    ``unique_order_numbers=True`` states that no customer has two orders
-    with the same non-NULL order number.  Level 2 is then an identity
-    regrouping, so it is skipped and one shuffle of per-order rows with it;
-    results are the same as long as the statement holds.
+    No recency filter: ``customer_profile`` and ``contact_table`` apply it; pass
+    ``orders_of_active_customers(...)`` as ``orders`` to compute active customers
+    only.  ``reason_options`` go to ``flag_items`` (``bad_cancel_reasons``,
+    ``bad_return_reasons``, ``match``).  ``habits=False`` leaves out the
+    favourite-bucket columns and the branch that computes them.
     """
     flagged = flag_items(
         items, as_of, ship_sla_days=ship_sla_days, refund_sla_days=refund_sla_days, **reason_options
     )
-    order_rows = order_attributes(orders)
-    reasons = statuses = None
-    if text_code_limit > 0:
-        tagged = items.select(
-            F.lit("reason").alias("kind"), F.explode(F.array("cancel_reason", "return_reason")).alias("text")
-        ).unionByName(orders.select(F.lit("status").alias("kind"), F.col("status").alias("text")))
-        codes = text_codes_by_kind(tagged, text_code_limit)
-        reasons, statuses = codes.get("reason", TextCodes(())), codes.get("status", TextCodes(()))
-    coded = reasons is not None and statuses is not None
-    order_ts = F.col("order_created_at")
-    if coded:
-
-        def event(ts: str, kind: str) -> Column:
-            return event_key(F.col(ts), reasons.code(F.col(f"{kind}_reason")))
-
-        status_event = event_key(order_ts, statuses.code(F.col("status")), null_time_last=True)
-    else:
-
-        def event(ts: str, kind: str) -> Column:
-            return _event(F.col(ts), F.col(f"{kind}_reason"))
-
-        status_event = _event(order_ts, F.col("status"))
-
-    per_order = _order_partials(flagged, ship_sla_days, refund_sla_days, event)
-    joined = per_order.join(order_rows, F.col("fk_sales_order") == F.col("id_sales_order"), "inner")
-
-    if unique_order_numbers:
-        per_order_nr = joined.select(
-            "customer_id",
-            "order_nr",
-            *_SUMMED,
-            *_MAXED,
-            "has_voucher",
-            "has_cart_rule",
-            status_event.alias("last_status"),
-            *[bucket_mask(order_ts, kind).alias(f"mask_{kind}") for kind in BUCKETS],
-        )
-    else:
-        # Spark combines each (customer, order number) group map-side, then
-        # shuffles by both keys: a hot customer, a hot order number or a pile
-        # of copies of one order is spread or reduced before any task sees it.
-        per_order_nr = joined.groupBy("customer_id", "order_nr").agg(
-            *[F.sum(c).alias(c) for c in _SUMMED],
-            *[F.max(c).alias(c) for c in _MAXED],
-            F.bool_or("has_voucher").alias("has_voucher"),
-            F.bool_or("has_cart_rule").alias("has_cart_rule"),
-            F.max(status_event).alias("last_status"),
-            *[F.bit_or(bucket_mask(order_ts, kind)).alias(f"mask_{kind}") for kind in BUCKETS],
-        )
+    per_order = _order_partials(flagged, ship_sla_days, refund_sla_days)
+    joined = per_order.join(_combined_orders(orders), F.col("fk_sales_order") == F.col("id_sales_order"), "inner")
+
+    # Spark combines each (customer, order number) group map-side, then
+    # shuffles by both keys: a hot customer or a hot order number is spread or
+    # reduced before any task sees it.
+    copies = F.col("n_copies")
+    per_order_nr = joined.groupBy("customer_id", "order_nr").agg(
+        *[F.sum(F.col(c) * copies).alias(c) for c in _SUMMED],
+        *[F.max(c).alias(c) for c in _MAXED],
+        F.bool_or("has_voucher").alias("has_voucher"),
+        F.bool_or("has_cart_rule").alias("has_cart_rule"),
+        F.max("last_status").alias("last_status"),
+    )
 
     order_nr = F.col("order_nr")
-    # One SQL snippet per tally: 74 conditional counts built with one call
-    # each instead of a dozen Column calls each.
-    tallies = [
-        F.expr(f"count(CASE WHEN (mask_{kind} & {1 << v}L) <> 0 THEN order_nr END) AS n_{kind}_{v}")
-        for kind, spec in BUCKETS.items()
-        for v in spec.values
-    ]
-
     per_customer = per_order_nr.groupBy("customer_id").agg(
         *[F.sum(c).alias(c) for c in _SUMMED],
         *[F.max(c).alias(c) for c in _MAXED],
@@ -214,21 +189,11 @@ def customer_metrics(
         F.count(order_nr).alias("order_count"),
         F.count(F.when(F.col("has_voucher"), order_nr)).alias("voucher_orders"),
         F.count(F.when(F.col("has_cart_rule"), order_nr)).alias("cart_rule_orders"),
-        *tallies,
     )
 
     n_items = F.col("n_items")
     order_count = F.col("order_count")
-    favourites = []
-    for kind, spec in BUCKETS.items():
-        top = favourite_from_counts({v: f"n_{kind}_{v}" for v in spec.values})
-        found = top["n"] > 0
-        favourites += [
-            F.when(found, -top["neg_value"]).alias(spec.column),
-            F.when(found, top["n"]).alias(spec.count_column),
-        ]
-
-    return per_customer.select(
+    metrics = per_customer.select(
         "customer_id",
         _ratio(F.col("sum_price"), n_items).alias("avg_item_price"),
         F.try_divide(n_items, order_count).cast("bigint").alias("avg_basket_size"),
@@ -249,9 +214,11 @@ def customer_metrics(
         order_count,
         n_items.alias("item_count"),
         F.col("last_item_at").alias("last_order_date"),
-        *_event_columns((reasons, statuses) if coded else None),
-        *favourites,
+        *_event_columns(),
     )
+    if not habits:
+        return metrics
+    return metrics.join(order_habits(orders, items), "customer_id", "left")
 
 
 # latest-event output columns: (aggregate column, date column, text column)
@@ -264,21 +231,13 @@ _EVENTS = (
 )
 
 
-def _event_columns(codes) -> list[Column]:
-    """Date and text columns of the latest events; ``codes`` = (reasons, statuses) or None."""
+def _event_columns() -> list[Column]:
+    """Date and text columns of the latest events."""
     out = []
     for agg, date, text in _EVENTS:
-        key = F.col(agg)
-        if codes is not None:
-            reasons, statuses = codes
-            dictionary = statuses if text == "last_order_status" else reasons
-            if date:
-                out.append(key_time(key).alias(date))
-            out.append(dictionary.text(key_code(key)).alias(text))
-        else:
-            if date:
-                out.append(key["at"].alias(date))
-            out.append(key["value"].alias(text))
+        if date:
+            out.append(F.col(agg)["at"].alias(date))
+        out.append(F.col(agg)["value"].alias(text))
     return out
 
 
@@ -306,8 +265,8 @@ PROFILE_COLUMNS = (
 def active_customers(metrics: DataFrame, as_of, active_days: int = 30) -> DataFrame:
     """Customers whose latest verified item is at most ``active_days`` days before ``as_of``.
 
-    A filter on an aggregate (the source's HAVING-like outer WHERE); it can
-    only run after the per-customer aggregation.
+    The filter on the finished metrics.  ``orders_of_active_customers`` keeps
+    the work for other customers from being done at all.
     """
     return metrics.filter(F.col("last_order_date") >= minus_days(as_of_literal(as_of), active_days))
 

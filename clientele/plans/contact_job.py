@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clientele.operators.batching import assign_batches
 from clientele.operators.contacts import contact_table, recent_customer_emails
 from clientele.operators.export import contact_export, contact_payloads, write_payloads
-from clientele.operators.metrics import customer_metrics
+from clientele.operators.metrics import customer_metrics, orders_of_active_customers
 
 
 def build_contacts(
@@ -21,7 +21,8 @@ def build_contacts(
     **metric_options,
 ) -> DataFrame:
     """Typed contact table from ``tables`` = ``orders, items, customers, storefront_orders``."""
-    metrics = customer_metrics(tables["orders"], tables["items"], as_of, **metric_options)
+    orders = orders_of_active_customers(tables["orders"], tables["items"], as_of, active_days)
+    metrics = customer_metrics(orders, tables["items"], as_of, **metric_options)
     emails = recent_customer_emails(tables["customers"], tables["storefront_orders"], as_of, email_days)
     return contact_table(metrics, emails, as_of, active_days=active_days, require_email=require_email)
 
@@ -68,12 +69,16 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
 
     from clientele.functions.reasons import MATCH_MODES
     from clientele.session import build_session
-    from clientele.sources.tables import read_table
+    from clientele.sources.tables import SLICE_COLUMNS, checked, read_jdbc_table, read_table
 
     parser = argparse.ArgumentParser(description="Customer contact export")
     for name in ("orders", "items", "customers", "storefront-orders"):
-        parser.add_argument(f"--{name}", required=True, help=f"path of the {name.replace('-', ' ')} table")
+        parser.add_argument(f"--{name}", required=True, help=f"path (or database table) of the {name.replace('-', ' ')}")
     parser.add_argument("--format", default="parquet", help="format of the input tables")
+    parser.add_argument("--jdbc-url", default=None, help="read the tables from this database instead of files")
+    parser.add_argument("--jdbc-driver", default=None, help="driver class, if the URL doesn't tell")
+    parser.add_argument("--jdbc-max-id", type=int, default=None, help="largest order or customer id, bounds the read slices")
+    parser.add_argument("--jdbc-slices", type=int, default=64, help="parallel connections per table")
     parser.add_argument("--out", required=True, help="where the payload dataset is written")
     parser.add_argument("--out-format", default="parquet", help="parquet, json or text (one document per line)")
     parser.add_argument("--as-of", default=None, help="'YYYY-MM-DD HH:MM:SS' (default: now)")
@@ -82,20 +87,31 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     parser.add_argument("--email-days", type=int, default=90, help="storefront order window for e-mails")
     parser.add_argument("--require-email", action="store_true", help="drop contacts without e-mail")
     parser.add_argument("--match", choices=MATCH_MODES, default="exact", help="reason matching (ci: case, trailing blanks)")
-    parser.add_argument(
-        "--unique-order-numbers", action="store_true", help="order numbers are unique per customer (one shuffle fewer)"
-    )
     parser.add_argument("--with-untagged-counts", action="store_true", help="add the always-0 count fields")
     args = parser.parse_args(argv)
 
     as_of = args.as_of or dt.datetime.now().replace(microsecond=0).isoformat(sep=" ")
     spark = build_session(app_name="clientele-contact-export")
-    tables = {
-        "orders": read_table(spark, args.orders, args.format),
-        "items": read_table(spark, args.items, args.format),
-        "customers": read_table(spark, args.customers, args.format),
-        "storefront_orders": read_table(spark, args.storefront_orders, args.format),
+    paths = {
+        "orders": args.orders,
+        "items": args.items,
+        "customers": args.customers,
+        "storefront_orders": args.storefront_orders,
     }
+    if args.jdbc_url:
+        if args.jdbc_max_id is None:
+            parser.error("--jdbc-url needs --jdbc-max-id")
+        properties = {"driver": args.jdbc_driver} if args.jdbc_driver else {}
+        tables = {
+            name: read_jdbc_table(
+                spark, args.jdbc_url, path, partition_column=SLICE_COLUMNS[name], lower_bound=0,
+                upper_bound=args.jdbc_max_id, num_partitions=args.jdbc_slices, properties=properties,
+            )
+            for name, path in paths.items()
+        }
+    else:
+        tables = {name: read_table(spark, path, args.format) for name, path in paths.items()}
+    tables = {name: checked(df, name) for name, df in tables.items()}
     stats = run_contact_export(
         spark,
         tables,
@@ -107,7 +123,6 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
         email_days=args.email_days,
         require_email=args.require_email,
         match=args.match,
-        unique_order_numbers=args.unique_order_numbers,
         with_untagged_counts=args.with_untagged_counts,
     )
     print({"as_of": as_of, **stats})

@@ -18,7 +18,12 @@ from clientele.operators.events import last_event
 from clientele.operators.export import contact_export, contact_payloads
 from clientele.operators.facts import item_facts
 from clientele.operators.habits import favourite_bucket
-from clientele.operators.metrics import active_customers, customer_metrics, customer_profile
+from clientele.operators.metrics import (
+    active_customers,
+    customer_metrics,
+    customer_profile,
+    orders_of_active_customers,
+)
 from clientele.plans.sql_twins import BATCH_SIZE_SF001
 from clientele.sources.fixtures import FIXTURE_AS_OF, fixture_tables
 
@@ -35,9 +40,14 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF)
 
 
+def _active_metrics(t: dict[str, DataFrame], habits: bool) -> DataFrame:
+    orders = orders_of_active_customers(t["orders"], t["items"], FIXTURE_AS_OF)
+    return customer_metrics(orders, t["items"], FIXTURE_AS_OF, habits=habits)
+
+
 def _contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixture_tables(spark, sf_dir)
-    metrics = customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF)
+    metrics = _active_metrics(t, habits=True)
     emails = recent_customer_emails(t["customers"], t["storefront_orders"], FIXTURE_AS_OF)
     return contact_table(metrics, emails, FIXTURE_AS_OF)
 
@@ -47,7 +57,12 @@ def _item_query(*cols: str) -> Query:
 
 
 def _metric_query(*cols: str) -> Query:
-    return lambda spark, sf_dir: _metrics(spark, sf_dir).select("customer_id", *cols)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = fixture_tables(spark, sf_dir)
+        metrics = customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF, habits=False)
+        return metrics.select("customer_id", *cols)
+
+    return query
 
 
 def _event_query(name: str, ts: str, value: str, only=None) -> Query:
@@ -76,11 +91,11 @@ def _last_order_status(spark, sf_dir):
 
 
 def _active_customers(spark, sf_dir):
-    return active_customers(_metrics(spark, sf_dir), FIXTURE_AS_OF).select("customer_id", "last_order_date")
+    return active_customers(_active_metrics(fixture_tables(spark, sf_dir), habits=False), FIXTURE_AS_OF).select("customer_id", "last_order_date")
 
 
 def _customer_profile(spark, sf_dir):
-    return customer_profile(_metrics(spark, sf_dir), FIXTURE_AS_OF)
+    return customer_profile(_active_metrics(fixture_tables(spark, sf_dir), habits=False), FIXTURE_AS_OF)
 
 
 def _recent_emails(spark, sf_dir):

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Datetimes in the source systems carry no zone; all arithmetic is done on
@@ -49,24 +46,12 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for ``DataFrame.checkpoint``.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``.  Only a
-    local-mode session without that setting (tests) gets a fresh scratch
-    folder; a cluster session without it is a configuration error, because a
-    machine-local folder would not survive the loss of an executor.
+    The folder the cluster names in ``spark.checkpoint.dir``; where none is
+    named, a folder in the warehouse, which executors share as well.  Never a
+    machine-local scratch folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder "
-            "(HDFS, S3, ...) that every executor can reach"
-        )
-    folder = tempfile.mkdtemp(prefix="clientele-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(folder)
+    if sc.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return sc.getCheckpointDir()

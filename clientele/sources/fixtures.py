@@ -9,7 +9,6 @@ arithmetic and intervals that read the same in Spark and in the SQL oracle
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,27 +124,21 @@ def derived_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-_STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The canonical tables for ``sf_dir``, derived as they are read; nothing is kept."""
+    return derived_tables(spark, sf_dir)
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The canonical tables for ``sf_dir``, derived once per session and stored.
+def stored_tables(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame]:
+    """The canonical tables written to ``folder`` (shared storage) and read back.
 
-    In production these are stored tables that the operators scan with
-    column pruning.  Here they are derived from the test tables once, written
-    as parquet into the shared checkpoint folder (also cutting the lineage of
-    the derivation), and read back, so every query measures the operators'
-    work, not the test-data preparation.
+    What production has: stored tables that the operators scan with column
+    pruning and pushed filters.  The bench and the plan tests use it to keep
+    the derivation out of what they look at.
     """
-    from clientele.session import checkpoint_dir
-
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _STORED:
-        base = f"{checkpoint_dir(spark).rstrip('/')}/fixture-tables/{uuid.uuid4().hex}"
-        stored = {}
-        for name, df in derived_tables(spark, sf_dir).items():
-            path = f"{base}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            stored[name] = spark.read.parquet(path)
-        _STORED[key] = stored
-    return dict(_STORED[key])
+    out = {}
+    for name, df in derived_tables(spark, sf_dir).items():
+        path = f"{folder.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path)
+    return out

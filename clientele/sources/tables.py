@@ -39,6 +39,32 @@ SALES_ITEM_COLUMNS = (
 STORE_CUSTOMER_COLUMNS = ("id_customer", "email")
 STOREFRONT_ORDER_COLUMNS = ("fk_customer", "created_at")
 
+TABLE_COLUMNS = {
+    "orders": SALES_ORDER_COLUMNS,
+    "items": SALES_ITEM_COLUMNS,
+    "customers": STORE_CUSTOMER_COLUMNS,
+    "storefront_orders": STOREFRONT_ORDER_COLUMNS,
+}
+
+#: The numeric column by which a database read of each table is sliced.
+SLICE_COLUMNS = {
+    "orders": "id_sales_order",
+    "items": "fk_sales_order",
+    "customers": "id_customer",
+    "storefront_orders": "fk_customer",
+}
+
+
+def checked(df: DataFrame, table: str) -> DataFrame:
+    """``df`` itself, if it has the columns of ``table`` and no zoned datetimes among them."""
+    wanted = TABLE_COLUMNS[table]
+    types = dict(df.dtypes)
+    if missing := [c for c in wanted if c not in types]:
+        raise ValueError(f"{table}: missing columns {', '.join(missing)}")
+    if zoned := [c for c in wanted if types[c] == "timestamp"]:
+        raise ValueError(f"{table}: {', '.join(zoned)} must be TIMESTAMP_NTZ, not a zoned TIMESTAMP")
+    return df
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A columnar file table; filters and projections reach the scan."""

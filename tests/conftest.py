@@ -18,3 +18,11 @@ def spark():
     session = build_session("local[8]", app_name="clientele-tests", shuffle_partitions=8)
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def stored(spark, tmp_path_factory):
+    """The canonical tables as stored tables, as production has them."""
+    from clientele.sources.fixtures import stored_tables
+
+    return stored_tables(spark, SF01, str(tmp_path_factory.mktemp("stored")))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.reasons import BAD_CANCEL_REASONS, is_listed
 from clientele.functions.timefns import hour_boundaries, sla_broken
+from clientele.operators.facts import item_facts
 from clientele.operators.events import last_event
 from clientele.operators.habits import favourite_bucket
 from clientele.operators.metrics import customer_metrics
@@ -155,34 +156,32 @@ def test_same_order_number_on_two_orders_counts_once(spark):
     assert m["last_order_status"] == "O"
 
 
-def test_last_event_coded_and_struct_paths_agree(spark):
-    from clientele.plans.registry import _facts
-    from conftest import SF01
-
-    facts = _facts(spark, SF01)
-    for ts, value, require_ts in (("canceled_at", "cancel_reason", True), ("order_created_at", "status", False)):
-        coded = last_event(facts, ts, value, require_ts=require_ts)
-        plain = last_event(facts, ts, value, require_ts=require_ts, text_code_limit=0)
-        assert coded.exceptAll(plain).count() == 0 and plain.exceptAll(coded).count() == 0
-
-
-def test_too_many_texts_fall_back_to_struct_maxima(spark):
-    from clientele.functions.encoding import text_codes
-    from clientele.plans.registry import _facts
-    from clientele.sources.fixtures import fixture_tables
-    from conftest import SF01
-
-    t = fixture_tables(spark, SF01)
-    reasons = t["items"].select(F.explode(F.array("cancel_reason", "return_reason")).alias("r"))
-    assert text_codes(reasons, 2) is None  # the fixture has 7 distinct reasons
-    assert len(text_codes(reasons, 7).texts) == 7
-    bounded = customer_metrics(t["orders"], t["items"], "2001-08-02 00:00:00", text_code_limit=2)
-    coded = customer_metrics(t["orders"], t["items"], "2001-08-02 00:00:00")
-    assert bounded.exceptAll(coded).count() == 0 and coded.exceptAll(bounded).count() == 0
-    facts = _facts(spark, SF01)
-    a = last_event(facts, "returned_at", "return_reason", text_code_limit=1)
-    b = last_event(facts, "returned_at", "return_reason")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def test_texts_that_change_between_evaluations_are_never_lost(spark):
+    """Nothing is read ahead of the query itself: every evaluation gives the texts it sees."""
+    d = T(2020, 1, 5)
+    orders, items = frames(spark, [(1, "A", 7, "F", d)], [item(1, 1, d, canceled_at=d, cancel_reason="x")])
+    changing = items.withColumn("cancel_reason", F.concat(F.lit("r"), F.floor(F.rand() * 1e9).cast("string")))
+    for _ in range(3):
+        row = customer_metrics(orders, changing, AS_OF).first()
+        assert row["last_cancel_reason"].startswith("r")
+
+
+def test_building_a_query_starts_no_job(spark):
+    from clientele.operators.contacts import contact_table, recent_customer_emails
+    from clientele.operators.metrics import orders_of_active_customers
+
+    d = T(2020, 1, 5)
+    orders, items = frames(spark, [(1, "A", 7, "F", d)], [item(1, 1, d)])
+    customers = spark.createDataFrame([(7, "a@example.test")], "id_customer long, email string")
+    storefront = spark.createDataFrame([(7, d)], "fk_customer long, created_at timestamp_ntz")
+    spark.sparkContext.setJobGroup("build-only", "build-only")
+    try:
+        metrics = customer_metrics(orders_of_active_customers(orders, items, AS_OF), items, AS_OF)
+        contact_table(metrics, recent_customer_emails(customers, storefront, AS_OF), AS_OF)
+        last_event(item_facts(orders, items, AS_OF), "canceled_at", "cancel_reason")
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("build-only")) == []
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
 
 
 def test_reason_lists_matching_mode_and_sla_days_are_parameters(spark):

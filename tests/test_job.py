@@ -4,18 +4,19 @@ import json
 import os
 import uuid
 
+import pytest
+
 from clientele.plans.contact_job import main
 from clientele.session import checkpoint_dir
-from clientele.sources.fixtures import FIXTURE_AS_OF, fixture_tables
-from conftest import SF01
+from clientele.sources.fixtures import FIXTURE_AS_OF
 
 
 def _dir(df):
     return os.path.dirname(df.inputFiles()[0])
 
 
-def test_job_writes_all_contacts_in_batches(spark):
-    t = fixture_tables(spark, SF01)
+def test_job_writes_all_contacts_in_batches(spark, stored):
+    t = stored
     out = f"{checkpoint_dir(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
     stats = main([
         "--orders", _dir(t["orders"]), "--items", _dir(t["items"]),
@@ -29,19 +30,19 @@ def test_job_writes_all_contacts_in_batches(spark):
     assert len(ids) == len(set(ids)) == 175
 
 
-def test_job_require_email_and_unique_numbers(spark):
-    t = fixture_tables(spark, SF01)
+def test_job_require_email(spark, stored):
+    t = stored
     out = f"{checkpoint_dir(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
     stats = main([
         "--orders", _dir(t["orders"]), "--items", _dir(t["items"]),
         "--customers", _dir(t["customers"]), "--storefront-orders", _dir(t["storefront_orders"]),
-        "--out", out, "--as-of", FIXTURE_AS_OF, "--require-email", "--unique-order-numbers",
+        "--out", out, "--as-of", FIXTURE_AS_OF, "--require-email",
     ])
     assert stats == {"batches": 1, "contacts": 164}
 
 
-def test_job_text_output(spark):
-    t = fixture_tables(spark, SF01)
+def test_job_text_output(spark, stored):
+    t = stored
     out = f"{checkpoint_dir(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
     stats = main([
         "--orders", _dir(t["orders"]), "--items", _dir(t["items"]),
@@ -51,3 +52,15 @@ def test_job_text_output(spark):
     assert stats == {"batches": 2, "contacts": 175}
     docs = [json.loads(r["value"]) for r in spark.read.text(out).collect()]
     assert sorted(len(d["contacts"]) for d in docs) == [75, 100]
+
+
+def test_job_checks_its_tables(spark, stored, tmp_path):
+    paths = {n: _dir(df) for n, df in stored.items()}
+    wrong = str(tmp_path / "zoned")
+    stored["orders"].withColumn("created_at", stored["orders"]["created_at"].cast("timestamp")).write.parquet(wrong)
+    for orders, message in ((wrong, "TIMESTAMP_NTZ"), (paths["customers"], "missing columns")):
+        with pytest.raises(ValueError, match=message):
+            main([
+                "--orders", orders, "--items", paths["items"], "--customers", paths["customers"],
+                "--storefront-orders", paths["storefront_orders"], "--out", str(tmp_path / "out"), "--as-of", FIXTURE_AS_OF,
+            ])

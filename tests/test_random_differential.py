@@ -20,7 +20,7 @@ from clientele.operators.events import last_event
 from clientele.operators.facts import item_facts
 from clientele.operators.habits import favourite_bucket
 from clientele.operators.metrics import customer_metrics
-from clientele.plans.sql_twins import AS_OF, EVENT_CTES, IL_CTE, _bucket_cte, _with, metrics_sql
+from clientele.plans.sql_twins import AS_OF, EVENT_CTES, FACTS_CTE, _bucket_cte, _with, metrics_sql
 from clientele.sources.fixtures import FIXTURE_AS_OF
 from oracle import normalise
 
@@ -81,10 +81,8 @@ ORDER_COLS = [c.split()[0] for c in ORDER_SCHEMA.split(", ")]
 @given(
     orders=st.lists(order_st, min_size=1, max_size=6),
     items=st.lists(item_st, min_size=1, max_size=14),
-    code_limit=st.sampled_from([100_000, 0]),
 )
-def test_fused_metrics_equal_reference_sql(spark, orders, items, code_limit):
-    """``code_limit=0`` forces the struct fallback for the latest-event metrics."""
+def test_fused_metrics_equal_reference_sql(spark, orders, items):
     order_rows = [(i, o["order_nr"], o["customer_id"], o["status"], o["created_at"]) for i, o in enumerate(orders)]
     item_rows = []
     for k, it in enumerate(items):
@@ -94,7 +92,7 @@ def test_fused_metrics_equal_reference_sql(spark, orders, items, code_limit):
 
     o = spark.createDataFrame(order_rows, ORDER_SCHEMA)
     i = spark.createDataFrame(item_rows, ITEM_SCHEMA)
-    got = customer_metrics(o, i, FIXTURE_AS_OF, text_code_limit=code_limit)
+    got = customer_metrics(o, i, FIXTURE_AS_OF)
     got = got.drop(*[c for c in got.columns if c.startswith("ratio_")])
     s_cols, s_rows = normalise(got.columns, got.collect())
 
@@ -126,14 +124,14 @@ def test_fused_metrics_equal_reference_sql(spark, orders, items, code_limit):
     facts = item_facts(o, i, FIXTURE_AS_OF)
     checks = {
         "last_bad_return": (
-            last_event(facts, "returned_at", "return_reason", only=BAD_RETURNS, text_code_limit=code_limit,
+            last_event(facts, "returned_at", "return_reason", only=BAD_RETURNS,
                        ts_alias="last_bad_return_date", value_alias="last_bad_return_reason"),
-            f"{_with(IL_CTE, EVENT_CTES['last_bad_return'], fixture=False)}\n"
+            f"{_with(FACTS_CTE, EVENT_CTES['last_bad_return'], fixture=False)}\n"
             "SELECT customer_id, last_bad_return_date, last_bad_return_reason FROM last_bad_return",
         ),
         "favourite_hour": (
             favourite_bucket(facts, "hour"),
-            f"{_with(IL_CTE, _bucket_cte('hour'), fixture=False)}\n"
+            f"{_with(FACTS_CTE, _bucket_cte('hour'), fixture=False)}\n"
             "SELECT customer_id, hour_of_day_most_order, order_count_hod_most_order FROM fav_hour",
         ),
     }
