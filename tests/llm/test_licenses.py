@@ -1,0 +1,85 @@
+import re
+
+import duckdb
+import pytest
+
+from clientele.llm.licenses import Scanner, Template, license_scan
+from clientele.llm.queries import queries
+from llm_rows import ODD, SF01, docs_of  # noqa: F401
+
+
+def spans(markup, text):
+    return Scanner([(markup, "t")]).spans(text.split() if isinstance(text, bytes) else text.encode().split())
+
+
+def test_mandatory_words_must_match_exactly():
+    assert spans("a b c", "x a b c y") == [(1, 3, "t")]
+    assert spans("a b c", "a b d c") == []
+
+
+def test_optional_regions_may_be_absent_and_nest():
+    t = "a [[ b [[ c ]] ]] d"
+    assert [s[1] for text in ("a d", "a b d", "a b c d", "a c d") for s in spans(t, text)] == [2, 3, 4]
+
+
+def test_replaceable_regions_accept_their_bounds():
+    t = "by {{1..3}} and"
+    assert spans(t, "by and") == []
+    assert spans(t, "by x and") == [(0, 3, "t")]
+    assert spans(t, "by x y z and") == [(0, 5, "t")]
+    assert spans(t, "by w x y z and") == []
+
+
+def test_longest_run_wins_and_places_overlap():
+    assert spans("a [[ a ]]", "a a a") == [(0, 2, "t"), (1, 2, "t"), (2, 1, "t")]
+
+
+def test_automaton_equals_a_regular_expression():
+    t = Template("a [[ b ]] {{0..2}} c", "t")
+    import itertools
+
+    for n in range(1, 6):
+        for words in itertools.product("abcx", repeat=n):
+            text = " ".join(words)
+            best = 0
+            for k in range(1, n + 1):
+                if re.fullmatch(r"a( b)?( \S+){0,2} c", " ".join(words[:k])):
+                    best = k
+            assert t.longest([w.encode() for w in words], 0) == best, text
+
+
+@pytest.mark.parametrize("bad", ["[[ a", "a ]]", "[[ a ]]", "{{1..2}} a", "a {{3..1}}"])
+def test_bad_templates_are_refused(bad):
+    with pytest.raises(ValueError):
+        Template(bad, "t")
+
+
+def test_odd_rows(docs_of):
+    rows = license_scan(docs_of(ODD)).collect()
+    assert len(rows) == len(ODD)
+    by_id = {r.doc_id: r for r in rows}
+    assert (by_id[1].n_words, by_id[1].labels, by_id[1].first_word, by_id[1].score) == (0, "", None, 0.0)
+    assert by_id[5].n_words == 30_000
+    assert license_scan(docs_of([])).count() == 0
+
+
+def test_query_equals_brute_force(spark):
+    got = {r.doc_id: r for r in queries()["op1_license_scan"](spark, SF01).collect()}
+    phrases = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
+    texts = duckdb.sql(f"select doc_id, text from '{SF01}/documents.parquet'").fetchall()
+    assert len(got) == len(texts)
+    for doc_id, text in texts:
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+        places, labels = [], set()
+        for phrase, label in phrases.items():
+            p = phrase.split()
+            at = [i for i in range(len(words)) if words[i : i + len(p)] == p]
+            places += at
+            labels |= {label} if at else set()
+        r = got[doc_id]
+        assert (r.n_words, r.n_base) == (len(words), len(places))
+        assert (r.first_word, r.last_word) == ((min(places), max(places)) if places else (None, None))
+        assert r.base_labels == ",".join(sorted(labels))
+        assert labels <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
+    assert any("mit-notice" in r.labels for r in got.values())
