@@ -48,6 +48,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tasks_for(rows: int, rows_a_task: int = 100_000) -> int:
+    """Tasks for a frame of so many rows: few rows shouldn't be dealt over many files."""
+    return max(1, -(-rows // rows_a_task))
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[list[list]], list[list]], schema: str
 ) -> DataFrame:
@@ -124,16 +129,23 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct()
     )  # a > b
     while True:
+        tasks = tasks_for(links.count())
+        links = links.coalesce(tasks)
         # large-star: neighbours above a node go to the smallest of its neighbourhood
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = cut(large.where("a <> b").coalesce(tasks).distinct().coalesce(tasks))
         # small-star: a node and its neighbours below go to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        links = cut(small.union(low.select("a", F.col("m").alias("b"))).distinct())
-        if links.join(links.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty():
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-                links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
+        small = small.union(low.select("a", F.col("m").alias("b"))).coalesce(tasks)
+        links = cut(small.mapInArrow(_local_forest, "a long, b long").distinct().coalesce(tasks))
+        # done when every node has one root and no root is a node
+        if not links.groupBy("a").count().where("count > 1").isEmpty():
+            continue
+        if links.join(links.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
+            break
+    roots = links.select(F.col("b").alias("node")).distinct()
+    members = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return members.union(roots.select("node", F.col("node").alias("component"))).coalesce(tasks)

@@ -14,10 +14,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
-from clientele.llm.common import cut, small_batches
+from clientele.llm.common import cut, small_batches, tasks_for
 from clientele.llm.links import MinHash, char_shingles, linked_components, mix
 
 WIDTH = 8  # characters (bytes) in a shingle
@@ -185,6 +185,7 @@ def removed_lines(
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     candidates = cut(_candidates(docs, bands, rows, min_chars, reach))
+    candidates = candidates.coalesce(tasks_for(candidates.count()))
     wanted = candidates.select(F.col("a").alias("id")).union(candidates.select(F.col("b").alias("id"))).distinct()
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,6 +198,7 @@ def removed_lines(
 
     lines = docs.select("text").mapInArrow(spell, "id long, text string")
     texts = cut(lines.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
+    texts = texts.coalesce(tasks_for(texts.count(), 20_000))
     linked = cut(linked_components(candidates, texts, lambda line: char_shingles(line, WIDTH), percent))
     seen = _occurrences(docs, min_chars)
     group = F.coalesce("component", "id").alias("group")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import LOWER_ASCII, components, cut, small_batches
+from clientele.llm.common import LOWER_ASCII, components, cut, small_batches, tasks_for
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -99,10 +99,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingles: Callable[[str], np.n
                     {"a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64())}
                 )
 
+    tasks = tasks_for(pairs.count(), 2_000)
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return joined.mapInArrow(check, "a long, b long")
+    joined = pairs.select("a", "b").join(left, "a").coalesce(tasks).join(right, "b").coalesce(tasks)
+    return joined.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long").coalesce(tasks_for(tasks, 25))
 
 
 def linked_components(
@@ -117,6 +118,7 @@ def linked_components(
     candidate inside one component is the only kind that isn't verified.
     """
     edges = open_ = None
+    tasks = tasks_for(candidates.count())
     for step in ("text", "component", "rest"):
         if edges is None:
             open_ = candidates.select("a", "b", "likeness", F.col("a").alias("ca"), F.col("b").alias("cb"))
@@ -127,7 +129,7 @@ def linked_components(
             open_ = cut(
                 open_.join(of_a, "a", "left").join(of_b, "b", "left")
                 .select("a", "b", "likeness", F.coalesce("na", "a").alias("ca"), F.coalesce("nb", "b").alias("cb"))
-                .where("ca <> cb")
+                .where("ca <> cb").coalesce(tasks)
             )
             if open_.isEmpty():
                 return comp
@@ -137,7 +139,7 @@ def linked_components(
             chosen = (
                 ends.groupBy("ca").agg(F.max(F.struct("likeness", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
             )
-        chosen = cut(chosen) if step != "rest" else chosen
+        chosen = cut(chosen.coalesce(tasks)) if step != "rest" else chosen
         found = cut(_verified(chosen, texts, shingles, percent))
         edges = found if edges is None else edges.union(found)
         if step != "rest":
