@@ -114,6 +114,10 @@ def _doc_key() -> F.Column:
 # -- transforms ---------------------------------------------------------------
 
 
+def _power(n: int) -> np.uint64:
+    return np.uint64(pow(int(_BASE), n, 1 << 64))
+
+
 def stable_order(ids: np.ndarray) -> np.ndarray:
     """Stable order of small non-negative integers, 16 bits a pass."""
     order = np.argsort(ids.astype(np.uint16), kind="stable")
@@ -138,15 +142,25 @@ class Rotations:
         owner = np.repeat(np.arange(len(strings)), lengths)
         inside = np.arange(len(data)) - self.starts[owner]
         self.owner, self.inside = owner, inside
-        following = self.starts[owner] + (inside + 1) % lengths[owner]
-        grams = np.zeros(len(data), np.uint64)
-        at = np.arange(len(data))
-        for _ in range(step):
-            grams = grams * _BASE + data[at] + np.uint64(1)
-            at = following[at]
+        own = lengths[owner]
+
+        def later(n: int) -> np.ndarray:
+            """The rotation ``n`` bytes on."""
+            at = inside + n % own if n >= own.min() else inside + n
+            return self.starts[owner] + at - own * (at >= own)
+
+        # hashes of 1, 2, 4, ... bytes, put together to ``step`` of them
+        grams, got, width, part = np.zeros(len(data), np.uint64), 0, 1, data + np.uint64(1)
+        while width <= step:
+            if step & width:
+                grams = grams * _power(width) + part[later(got)]
+                got += width
+            part = part * _power(width) + part[later(width)]
+            width *= 2
         self.symbol = np.unique(mix(grams), return_inverse=True)[1].astype(np.int64)
-        self.after = self.starts[owner] + (inside + step) % lengths[owner]
-        self.before = self.starts[owner] + (inside - step) % lengths[owner]
+        self.after = later(step)
+        self.before = np.empty_like(self.after)
+        self.before[self.after] = np.arange(len(self.after))
 
 
 class Transform:
@@ -213,7 +227,7 @@ def repeated_starts(strings: list[bytes], counts: list[int], length: int, shards
 
     ``counts`` says how often each string itself occurs.
     """
-    step = next(d for d in range(min(25, length), 0, -1) if length % d == 0)
+    step = next(d for d in range(min(50, length), 0, -1) if length % d == 0)
     rounds = length // step
     rotations = Rotations(strings, step)
     shard_of = np.arange(len(strings)) % shards
@@ -347,7 +361,7 @@ def _compare(open_: DataFrame, length: int, batch_bytes: int) -> DataFrame:
 
 
 def repeat_starts(
-    docs: DataFrame, length: int = 400, gram: int = 50, group_stretches: int = 1024, batch_bytes: int = 1 << 19
+    docs: DataFrame, length: int = 400, gram: int = 120, group_stretches: int = 1024, batch_bytes: int = 1 << 19
 ) -> DataFrame:
     """doc_key, low, high: runs of starts whose ``length`` bytes also start anywhere else.
 
