@@ -1,0 +1,55 @@
+"""Values that must equal the receiving and the source system's, spelled out apart from the library."""
+
+from clientele.functions.reasons import BAD_CANCEL_REASONS, BAD_RETURN_REASONS
+from clientele.operators.export import FIELD_IDS, PAYLOAD_KEY_ID
+
+# Reasons that count as bad, and the export's field ids in order.
+RETURNS = (
+    "content issue",
+    "Damaged item",
+    "Expiring date",
+    "Fake A",
+    "Fake C",
+    "Fake Product",
+    "Guarantee issue / wrong details base on our site",
+    "Internal - wrong item",
+    "Lost in Shipment",
+    "Merchant - Defective",
+    "merchant - wrong item",
+    "Merchant-Not complete product",
+    "Poor quality of the product",
+    "wrong color",
+    "Wrong product information",
+)
+CANCELS = (
+    "cancellation - unable to send via 3PL/own-rider",
+    "Customer - Late fulfillment",
+    "Customer - Some items were out of stock",
+    "Customer - Wrong product information",
+    "Internal-Defective",
+    "Internal-Error",
+    "Late Fulfilment by Seller",
+    "Lost in Warehouse",
+    "Merchant - Defective",
+    "Merchant - Order replacement",
+    "Merchant - Out of stock",
+    "Merchant - Price was wrong (Bamilo mistake)",
+    "Merchant - Price was wrong (Merchant mistake)",
+    "Merchant-Late Fulfilment",
+    "Merchant-Wrong",
+    "Out of stock(Cancellation - Internal)",
+    "Price Was wrong-Merchant",
+    "SC/Bob Error",
+)
+IDS = (
+    "3 4819 18124 18125 18126 18130 18138 18129 18131 18132 18135 18134 18136 18137 18139 18140 18141 18142 18143 "
+    "18144 18145 18146 18147 18148 18149 18152 18151 18153 18154 18155 18156 18157 18158 18159 18160 18161 18162 18163"
+)
+
+
+def test_reason_lists():
+    assert BAD_RETURN_REASONS == RETURNS and BAD_CANCEL_REASONS == CANCELS
+
+
+def test_field_ids():
+    assert " ".join(FIELD_IDS) == IDS and PAYLOAD_KEY_ID == "3"

@@ -3,35 +3,41 @@
 import os
 import re
 import sys
+import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+from bench import HEADLINE  # noqa: E402
+from clientele.operators.batching import assign_batches  # noqa: E402
 from clientele.plans.inspect import plan_summary, plan_text, scan_filters  # noqa: E402
-from clientele.plans.registry import queries  # noqa: E402
 from clientele.session import build_session  # noqa: E402
+from clientele.sources.fixtures import stored_tables  # noqa: E402
 
 
 def main():
     spark = build_session("local[8]", shuffle_partitions=200,
-                          extra_conf={"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    q = queries()
+                          extra_conf={"spark.sql.autoBroadcastJoinThreshold": "-1",
+                                      "spark.sql.warehouse.dir": tempfile.mkdtemp()})
+    tables = stored_tables(spark, "/root/testdata/sf0.01", tempfile.mkdtemp())
+    q = {**HEADLINE, "contact_batches": lambda t: assign_batches(HEADLINE["contact_table"](t), "customer_id", 50)}
     out = ["# Physical plans", "",
-           "Generated with `clientele.plans.inspect.plan_text(df, \"simple\")` over the sf0.01 test tables,",
+           "Generated with `clientele.plans.inspect.plan_text(df, \"simple\")` over the stored sf0.01 tables,",
            "with automatic broadcast joins off (the shape at scale: no input is small) and 200 shuffle",
            "partitions, before adaptive re-planning. Long expression lists are cut at 150 characters;",
            "`Exchange` lines are the shuffles.", ""]
     for name in ["customer_metrics", "contact_table", "last_cancel", "favourite_hour", "recent_emails", "contact_batches"]:
-        df = q[name](spark, "/root/testdata/sf0.01")
+        df = q[name](tables)
         s = plan_summary(df)
         text = plan_text(df, "simple")
         body = text.split("== Physical Plan ==", 1)[-1].strip("\n")
         body = re.sub(r"#\d+L?", "", body)
         body = re.sub(r", \[plan_id=\d+\]", "", body)
+        body = re.sub(r"file:/[^\],]*", "file:...", body)
         lines = [l if len(l) <= 150 else l[:147] + "..." for l in body.splitlines()]
         out += [f"## `{name}`", "",
                 f"Shuffles: {s['hash_exchange']} hash, {s['range_exchange']} range, "
                 f"{s['single_partition_exchange']} single-partition (bounded), {s['broadcast_exchange']} broadcast "
-                f"(bounded: dictionaries or per-shard offsets). Sort-merge joins: {s['sort_merge_join']}.", "",
+                f"(bounded: per-shard offsets). Sort-merge joins: {s['sort_merge_join']}.", "",
                 "Filters pushed to the scans: "
             + ("; ".join(f"[{f}]" for f in scan_filters(df) if f) or "none (no file scan; reads a checkpoint)")
             + ".", "",
