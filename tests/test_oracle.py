@@ -74,7 +74,7 @@ SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "st
 
 def test_column_types_match_the_twins(spark, con):
     mismatches = []
-    for name, query in entry.queries().items():
+    for name, query in registry_queries().items():
         spark_types = dict(query(spark, SF01).dtypes)
         rel = con.execute(f"SELECT * FROM ({TWINS[name]}) t LIMIT 0")
         duck_types = {d[0]: str(d[1]) for d in rel.description}
