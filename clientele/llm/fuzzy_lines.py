@@ -198,8 +198,9 @@ def removed_lines(
 
     lines = docs.select("text").mapInArrow(spell, "id long, text string")
     texts = cut(lines.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
-    texts = texts.coalesce(tasks_for(texts.count(), 20_000))
-    linked = cut(linked_components(candidates, texts, lambda line: char_shingles(line, WIDTH), percent))
+    text_tasks = tasks_for(texts.count(), 20_000)
+    texts = texts.coalesce(text_tasks)
+    linked = cut(linked_components(candidates, texts, lambda line: char_shingles(line, WIDTH), percent, text_tasks))
     seen = _occurrences(docs, min_chars)
     group = F.coalesce("component", "id").alias("group")
     seen = cut(

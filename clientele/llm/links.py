@@ -79,7 +79,9 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both) > 0
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int, text_tasks: int
+) -> DataFrame:
     """The pairs (a, b) whose texts are similar, confirmed on their full sets."""
     small_batches(pairs.sparkSession)
 
@@ -99,7 +101,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingles: Callable[[str], np.n
                     {"a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64())}
                 )
 
-    tasks = tasks_for(pairs.count(), 2_000)
+    tasks = max(text_tasks, tasks_for(pairs.count(), 2_000))  # few pairs still meet all texts
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     joined = pairs.select("a", "b").join(left, "a").coalesce(tasks).join(right, "b").coalesce(tasks)
@@ -107,12 +109,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingles: Callable[[str], np.n
 
 
 def linked_components(
-    candidates: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int
+    candidates: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int, text_tasks: int
 ) -> DataFrame:
     """Components (node, component) of the candidate pairs that prove similar.
 
     ``candidates``: (a long, b long, likeness int), a < b, once each; ``texts``:
-    (id long, text).  Only links between components matter, so the likeliest
+    (id long, text), which ``text_tasks`` tasks can hold.  Only links between components matter, so the likeliest
     candidate of every text is verified first, then the likeliest of every
     component, and at last every candidate left between two components.  A
     candidate inside one component is the only kind that isn't verified.
@@ -140,7 +142,7 @@ def linked_components(
                 ends.groupBy("ca").agg(F.max(F.struct("likeness", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
             )
         chosen = cut(chosen.coalesce(tasks)) if step != "rest" else chosen
-        found = cut(_verified(chosen, texts, shingles, percent))
+        found = cut(_verified(chosen, texts, shingles, percent, text_tasks))
         edges = found if edges is None else edges.union(found)
         if step != "rest":
             open_ = open_.join(chosen, ["a", "b"], "left_anti")
