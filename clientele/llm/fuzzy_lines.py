@@ -18,7 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from clientele.llm.common import cut, small_batches, tasks_for
-from clientele.llm.links import MinHash, char_shingles, linked_components, mix
+from clientele.llm.links import MinHash, char_shingles, linked_buckets, linked_components, mix
 
 WIDTH = 8  # characters (bytes) in a shingle
 
@@ -120,15 +120,27 @@ def _bucket_pairs(key: np.ndarray, ids: np.ndarray, reach: int) -> tuple[np.ndar
     return np.minimum(low, high), np.maximum(low, high)
 
 
-def _candidates(docs: DataFrame, bands: int, rows: int, min_chars: int, reach: int) -> DataFrame:
-    """(a, b, likeness): lines that share a band, likeness counting how often they met.
+#: Kinds of rows between the batches and their buckets.
+HEAD, LED, PAIR, MEMBER = range(4)
 
-    Before the shuffle, each batch links its own lines of one key and sends only
-    one of them on: a key with a third of all lines has one row a batch.
+
+def _met(docs: DataFrame, bands: int, rows: int, min_chars: int, reach: int) -> DataFrame:
+    """Two kinds of rows: (null, a, b) near lines of a bucket, once each time they met, and (key, a, null) members.
+
+    Every line of a bucket (lines that share a band) with two lines or more is a
+    member.  Before the shuffle, each batch links its own lines of one key and
+    sends only one of them on to the bucket: a key with a third of all lines has
+    one row a batch there.  The others are members already, dealt out by
+    themselves.
     """
     hasher = MinHash(bands * rows)
-    schema = "key long, near int, a long, b long"
-    names = ["key", "near", "a", "b"]
+    schema = "key long, near int, a long, b long, kind int"
+
+    def rows_of(kind: np.ndarray | int, key: np.ndarray, near: np.ndarray | int, a: np.ndarray, b: np.ndarray):
+        columns = (key, np.broadcast_to(np.int32(near), len(a)), a, b, np.broadcast_to(np.int32(kind), len(a)))
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=schema_names)
+
+    schema_names = [x.split()[0] for x in schema.split(", ")]
 
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,37 +157,59 @@ def _candidates(docs: DataFrame, bands: int, rows: int, min_chars: int, reach: i
             low, high = _bucket_pairs(key, each, reach)
             head = np.ones(len(key), bool)
             head[1:] = key[1:] != key[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[head]), pa.array(near[head]), pa.array(each[head]), pa.nulls(int(head.sum()), pa.int64())],
-                names=names,
-            )
+            led = np.append(~head[1:], False)[head]  # the batch has more lines of the key
+            yield rows_of(np.where(led, LED, HEAD), key[head], near[head], each[head], each[head])
             if len(low):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(low), pa.array(np.zeros(len(low), np.int32)), pa.array(low), pa.array(high)], names=names
-                )
+                yield rows_of(PAIR, low, 0, low, high)
+                rest = ~head
+                yield rows_of(MEMBER, each[rest], 0, each[rest], key[rest])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None  # rows of the batch before whose key may go on
+        held = None  # its key, line, and whether the bucket is known to have two lines
         for batch in batches:
-            done = batch.filter(batch.column("b").is_valid())
-            if done.num_rows:
-                yield done.select(["a", "b"])
-            open_ = batch.filter(batch.column("b").is_null())
-            key, ids = open_.column("key").to_numpy(), open_.column("a").to_numpy()
-            if tail is not None:
-                key, ids = np.concatenate([tail[0], key]), np.concatenate([tail[1], ids])
+            kind = batch.column("kind").to_numpy()
+            pairs, members = batch.filter(pa.array(kind == PAIR)), batch.filter(pa.array(kind == MEMBER))
+            if pairs.num_rows:
+                yield _met_rows(None, pairs.column("a"), pairs.column("b"))
+            if members.num_rows:
+                yield _met_rows(members.column("b"), members.column("a"), None)
+            open_ = kind <= LED
+            key, ids = batch.column("key").to_numpy()[open_], batch.column("a").to_numpy()[open_]
             if not len(key):
                 continue
+            led = kind[open_] == LED
+            all_key, all_ids, all_led = key, ids, led
+            if held is not None:
+                all_key, all_ids = np.append(held[0], key), np.append(held[1], ids)
+                all_led = np.append(held[2], led)
+            begin = np.ones(len(all_key), bool)
+            begin[1:] = all_key[1:] != all_key[:-1]
+            run = np.cumsum(begin) - 1
+            unlike = np.zeros(len(all_key), bool)
+            unlike[1:] = ~begin[1:] & (all_ids[1:] != all_ids[:-1])
+            many = np.bincount(run, unlike | all_led) > 0  # two lines, here or in a batch
+            whole = many[run]
+            if whole.any():
+                yield _met_rows(pa.array(all_key[whole]), pa.array(all_ids[whole]), None)
+            held = all_key[-1], all_ids[-1], bool(whole[-1])
+            if tail is not None:
+                key, ids = np.concatenate([tail[0], key]), np.concatenate([tail[1], ids])
             low, high = _bucket_pairs(key, ids, reach)
-            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+            yield _met_rows(None, pa.array(low), pa.array(high))
             last = np.flatnonzero(key == key[-1])
             last = np.unique(np.concatenate([last[:1], last[-reach:]]))  # its first line and the nearest ones
             tail = key[last], ids[last]
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     banded = docs.select("text").mapInArrow(band, schema).repartition(parts, "key")
-    met = banded.sortWithinPartitions("key", "near", "a").mapInArrow(meet, "a long, b long")
-    return met.groupBy("a", "b").agg(F.count("*").cast("int").alias("likeness"))
+    met = banded.sortWithinPartitions("key", "near", "a").mapInArrow(meet, "key long, a long, b long")
+    return cut(met.groupBy("key", "a", "b").agg(F.count("*").cast("int").alias("likeness")))
+
+
+def _met_rows(key: pa.Array | None, a: pa.Array, b: pa.Array | None) -> pa.RecordBatch:
+    none = pa.nulls(len(a), pa.int64())
+    return pa.RecordBatch.from_arrays([none if key is None else key, a, none if b is None else b], names=["key", "a", "b"])
 
 
 def removed_lines(
@@ -184,7 +218,9 @@ def removed_lines(
     """doc_key, line (from 0): the lines to remove, all of a component but the first by (doc_id, line)."""
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    candidates = cut(_candidates(docs, bands, rows, min_chars, reach))
+    met = _met(docs, bands, rows, min_chars, reach)
+    members = met.where("b is null").select("key", F.col("a").alias("id"))
+    candidates = met.where("b is not null").select("a", "b", "likeness")
     candidates = candidates.coalesce(tasks_for(candidates.count()))
     wanted = candidates.select(F.col("a").alias("id")).union(candidates.select(F.col("b").alias("id"))).distinct()
 
@@ -201,6 +237,7 @@ def removed_lines(
     text_tasks = tasks_for(texts.count(), 20_000)
     texts = texts.coalesce(text_tasks)
     linked = cut(linked_components(candidates, texts, lambda line: char_shingles(line, WIDTH), percent, text_tasks))
+    linked = linked_buckets(members, linked, texts, lambda line: char_shingles(line, WIDTH), percent)
     seen = _occurrences(docs, min_chars)
     group = F.coalesce("component", "id").alias("group")
     seen = cut(
@@ -222,7 +259,8 @@ def fuzzy_line_dedup(docs: DataFrame, carry: tuple[str, ...] = (), **params: int
     characters stay.  A null text stays null with 0 lines.  Rows of equal doc_id
     and text are one document: they lose the same lines.  The columns named in
     ``carry`` come along unchanged in a struct ``carried``.  ``bands`` of
-    ``rows`` values find a pair at the threshold with probability 0.995.
+    ``rows`` values find a pair at the threshold with probability 0.995; every
+    pair that shares a band is compared, unless links join it already.
 
     Returns doc_id, text, n_lines, n_removed and ``carried``.
     """

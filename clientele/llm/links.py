@@ -147,3 +147,160 @@ def linked_components(
         if step != "rest":
             open_ = open_.join(chosen, ["a", "b"], "left_anti")
     return components(edges)
+
+
+#: Lines of a bucket that are compared with each other in one go.
+BLOCK = 256
+
+
+def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which of ``left`` (rows) are similar to which of ``right`` (columns), as ``similar`` has it for each pair."""
+    sizes = np.array([len(x) for x in sets])
+    used = np.unique(np.concatenate([left, right]))
+    values = np.concatenate([sets[i] for i in used])
+    owner = np.repeat(used, sizes[used])
+    values, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    order = np.flatnonzero(shared)[np.argsort(column[shared], kind="stable")]
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    width = 4096
+    rank = np.cumsum(np.append(0, np.diff(column) != 0)) if len(column) else column
+    for start in range(0, int(rank[-1]) + 1 if len(rank) else 0, width):
+        lo, hi = np.searchsorted(rank, [start, start + width])
+        grid = np.zeros((len(sets), width), np.float32)
+        grid[owner[lo:hi], rank[lo:hi] - start] = 1
+        both += grid[left] @ grid[right].T
+    return (100 * both >= percent * (sizes[left][:, None] + sizes[right][None, :] - both)) & (both > 0)
+
+
+def _compared(rows: DataFrame, shingles: Callable[[str], np.ndarray], percent: int) -> DataFrame:
+    """(key, a, b, degree): links that join components, and of each block the line with most links (b null).
+
+    ``rows``: key, block (long), side, id, component, text.  Within a block all
+    lines of side 2 meet, and all of side 0 those of side 1.
+    """
+    small_batches(rows.sparkSession)
+
+    def compare(key: int, group: list[tuple]) -> Iterator[tuple]:
+        component = {x[2]: x[2] for x in group}
+
+        def find(x: int) -> int:
+            while component[x] != x:
+                component[x] = component[component[x]]
+                x = component[x]
+            return x
+
+        if len(component) < 2:
+            return
+        side = np.array([x[0] for x in group])
+        sets = [shingles(x[3]) for x in group]
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        alike = similar_pairs(sets, left, right, percent)
+        alike &= left[:, None] != right[None, :]
+        degree = np.zeros(len(group), np.int64)
+        degree[left] = alike.sum(axis=1)
+        degree[right] = np.maximum(degree[right], alike.sum(axis=0))
+        top = int(degree.argmax())
+        yield key, group[top][1], None, int(degree[top])
+        for i, j in zip(*np.nonzero(alike), strict=True):
+            x, y = group[left[i]], group[right[j]]
+            a, b = find(x[2]), find(y[2])
+            if a != b:
+                component[max(a, b)] = min(a, b)
+                yield key, x[1], y[1], 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def groups() -> Iterator[tuple[int, list[tuple]]]:
+            now, group = None, []
+            for batch in batches:
+                for key, block, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if (key, block) != now:
+                        if group:
+                            yield now[0], group
+                        now, group = (key, block), []
+                    group.append(row)
+            if group:
+                yield now[0], group
+
+        out: list[tuple] = []
+        for key, group in groups():
+            out += compare(key, group)
+            if len(out) > 10_000:
+                yield batch_of(out)
+                out = []
+        yield batch_of(out)
+
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[k] for x in out], pa.int64()) for k in range(4)], names=["key", "a", "b", "degree"]
+        )
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select("key", "block", "side", "id", "component", "text").repartition(parts, "key", "block")
+    return cut(dealt.sortWithinPartitions("key", "block").mapInArrow(run, "key long, a long, b long, degree long"))
+
+
+def linked_buckets(
+    members: DataFrame, linked: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int
+) -> DataFrame:
+    """Components (node, component) when all pairs of a bucket between two components are verified too.
+
+    ``members`` (key, id): the buckets, each line once; ``linked``: components so
+    far, in which the pairs of buckets of two are settled.  Buckets all of one
+    component need nothing, and of buckets with the same lines one is enough.
+    The others are dealt into blocks of about ``BLOCK`` lines.  The lines of a
+    block are compared with each other, then all with the line that had most
+    links in its bucket; buckets still in several components are compared block
+    against block.  So no task gets a large bucket, and no pair is left out.
+    """
+
+    def still_open(frame: DataFrame) -> DataFrame:
+        of = linked.select(F.col("node").alias("id"), F.col("component").alias("found"))
+        frame = frame.join(of, "id", "left").withColumn("component", F.coalesce("found", "id")).drop("found")
+        each = frame.groupBy("key").agg(
+            F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"),
+            F.min("id").alias("low"), F.max("id").alias("high"),
+            F.min("component").alias("c0"), F.max("component").alias("c1"),
+        ).where("n > 2 and c0 <> c1")
+        one = each.groupBy("n", "s", "low", "high").agg(F.min("key").alias("key")).select("key", "n")
+        count = F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")
+        frame = frame.join(one.select("key", count), "key")
+        spread = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).alias("own")
+        return cut(frame.select("key", "id", "component", "blocks", spread))
+
+    def join_up(found: DataFrame) -> DataFrame:
+        links = found.where("b is not null").select("a", "b")
+        return cut(components(linked.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)))
+
+    def spelt(frame: DataFrame) -> DataFrame:
+        return frame.join(texts, "id")
+
+    rows = still_open(members)
+    if rows.isEmpty():
+        return linked
+    found = _compared(
+        spelt(rows.select("key", F.col("own").alias("block"), F.lit(2).alias("side"), "id", "component")), shingles, percent
+    )
+    linked = join_up(found)
+    large = rows.where("blocks > 1").select("key", "id")
+    if large.isEmpty():
+        return linked
+    rows = still_open(large)
+    if rows.isEmpty():
+        return linked
+    hubs = found.where("b is null").groupBy("key").agg(F.max(F.struct("degree", "a")).alias("top"))
+    hubs = rows.select("key", "id", "component", "blocks").join(hubs.select("key", F.col("top.a").alias("id")), ["key", "id"])
+    hubs = hubs.select("key", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), "id", "component")
+    others = rows.select("key", F.col("own").alias("block"), F.lit(0).alias("side"), "id", "component")
+    each = others.union(hubs.select("key", "block", F.lit(1).alias("side"), "id", "component"))
+    linked = join_up(_compared(spelt(each), shingles, percent))
+    rows = still_open(large)
+    if rows.isEmpty():
+        return linked
+    other = F.explode(F.expr("sequence(0L, blocks - 1)"))
+    pairs = rows.select("key", "id", "component", "blocks", "own", other.alias("other")).where("own <> other")
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side")
+    pairs = pairs.select("key", (low * F.col("blocks") + high).alias("block"), side, "id", "component")
+    return join_up(_compared(spelt(pairs), shingles, percent))

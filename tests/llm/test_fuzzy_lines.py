@@ -97,3 +97,27 @@ def test_odd_rows(docs_of):
     assert by_id[6].n_removed == 0, "rows of equal doc_id and text are one document"
     assert all(r.carried.text == r.text for r in rows)
     assert fuzzy_line_dedup(docs_of([])).count() == 0
+
+
+def star(copies, seed=5):
+    """A line and copies of it at 0.8 or more that are unlike each other."""
+    r = random.Random(seed)
+    original = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(380))
+    out = []
+    for _ in range(copies):
+        at = sorted(r.sample(range(8, 372), 5))
+        out.append("".join(r.choice("0123456789") if i in at else c for i, c in enumerate(original)))
+    return original, out
+
+
+def test_a_star_of_several_hundred_lines_over_many_batches_is_one_component(docs_of, spark):
+    original, copies = star(600)
+    lines = [*copies[:300], original, *copies[300:]]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        rows = fuzzy_line_dedup(docs_of(list(enumerate(lines)))).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = brute_gone(list(enumerate(lines)))
+    assert len(want) > 590
+    assert sum(r.n_removed for r in rows) >= 0.99 * len(want)
