@@ -121,3 +121,25 @@ def test_a_star_of_several_hundred_lines_over_many_batches_is_one_component(docs
     want = brute_gone(list(enumerate(lines)))
     assert len(want) > 590
     assert sum(r.n_removed for r in rows) >= 0.99 * len(want)
+
+
+def test_pairs_among_variants_of_a_template_over_many_batches(docs_of, spark):
+    r = random.Random(8)
+
+    def edited(line, edits):
+        at = set(r.sample(range(8, 372), edits))
+        return "".join(r.choice("0123456789") if i in at else c for i, c in enumerate(line))
+
+    template = star(0)[0]
+    variants = [edited(template, 3) for _ in range(250)]
+    lines = [x for v in variants for x in (v, edited(v, 2))]
+    r.shuffle(lines)
+    docs = list(enumerate(lines))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        rows = fuzzy_line_dedup(docs_of(docs)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = brute_gone(docs)
+    assert len(want) > 200
+    assert sum(r.n_removed for r in rows) >= 0.99 * len(want)
