@@ -242,12 +242,13 @@ def _compared(rows: DataFrame, shingles: Callable[[str], np.ndarray], percent: i
 
 
 def linked_buckets(
-    members: DataFrame, linked: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int
+    members: DataFrame, linked: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int,
+    settled: int = 2,
 ) -> DataFrame:
     """Components (node, component) when all pairs of a bucket between two components are verified too.
 
     ``members`` (key, id): the buckets, each line once; ``linked``: components so
-    far, in which the pairs of buckets of two are settled.  Buckets all of one
+    far, in which buckets of up to ``settled`` members are done.  Buckets all of one
     component need nothing, and of buckets with the same lines one is enough.
     The others are dealt into blocks of about ``BLOCK`` lines.  The lines of a
     block are compared with each other, then all with the line that had most
@@ -262,7 +263,7 @@ def linked_buckets(
             F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"),
             F.min("id").alias("low"), F.max("id").alias("high"),
             F.min("component").alias("c0"), F.max("component").alias("c1"),
-        ).where("n > 2 and c0 <> c1")
+        ).where(f"n > {settled} and c0 <> c1")
         one = each.groupBy("n", "s", "low", "high").agg(F.min("key").alias("key")).select("key", "n")
         count = F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")
         frame = frame.join(one.select("key", count), "key")
