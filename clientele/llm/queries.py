@@ -12,11 +12,15 @@ from clientele.llm.fuzzy_lines import fuzzy_line_dedup
 from clientele.llm.language_id import language_id
 from clientele.llm.licenses import license_scan
 from clientele.llm.long_repeats import remove_repeats
+from clientele.llm.main_text import main_text
 from clientele.llm.near_documents import near_documents
 from clientele.llm.pieces import encode_pieces
 from clientele.llm.quality import quality_rules
+from clientele.llm.resampling import importance_resample
 from clientele.llm.sharding import pack_shards
+from clientele.llm.spelling import spelling_variants
 from clientele.llm.token_counts import token_counts
+from clientele.llm.twins import sql_twins
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +81,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -89,8 +106,10 @@ def queries() -> dict[str, Query]:
         "op8_near_documents": op8_near_documents,
         "op9_language_id": op9_language_id,
         "op10_quality_rules": op10_quality_rules,
+        "op11_main_text": op11_main_text,
+        "op12_importance_resampling": op12_importance_resampling,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
-def sql_twins() -> dict[str, str]:
-    return {}
+__all__ = ["queries", "sql_twins"]
