@@ -5,10 +5,12 @@ The canonical tables are derived from ``$BENCH_SF_DIR`` (default
 that cost.  Every query then reads the stored tables on
 ``local[$BENCH_CPUS]`` and runs in full with the ``noop`` sink (all rows
 computed, nothing sent to the driver): once to warm up, then
-``$BENCH_RUNS`` (default 3) times, of which the median counts.  Building a
-query's plan is timed apart in ``plan_sec``.  ``one_join_per_metric`` is the
-yardstick: the same contact metrics with one order-item join for every metric
-family.  ``export_job`` runs the whole export into a scratch folder;
+``$BENCH_RUNS`` (default 3) times, of which the median counts.  Times hold
+building and planning the query, and the stored steps of the ``_stored`` and
+``_snapshot`` forms; ``plan_sec`` is that part of the last run.
+``one_join_per_metric`` is the yardstick: the same contact table with one
+order-item join for every metric family (``tests/test_bench.py`` holds the two
+equal).  ``export_job`` runs the whole export into a scratch folder;
 ``customer_metrics_bucketed`` repeats the metrics over tables bucketed by
 order id.  ``shuffle_mb`` is the shuffle bytes that the last run of each query
 wrote, from Spark's event log in a scratch folder.
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from clientele.functions.buckets import BUCKETS  # noqa: E402
 from clientele.functions.reasons import BAD_CANCEL_REASONS, BAD_RETURN_REASONS  # noqa: E402
-from clientele.operators.contacts import recent_customer_emails  # noqa: E402
+from clientele.functions.timefns import plus_days  # noqa: E402
+from clientele.operators.contacts import CONTACT_COLUMNS, recent_customer_emails  # noqa: E402
 from clientele.operators.events import last_event  # noqa: E402
 from clientele.operators.export import contact_export  # noqa: E402
 from clientele.operators.facts import item_facts  # noqa: E402
@@ -45,6 +48,7 @@ from clientele.operators.metrics import (  # noqa: E402
 from clientele.plans.contact_job import build_contacts, run_contact_export  # noqa: E402
 from clientele.session import build_session  # noqa: E402
 from clientele.sources.fixtures import FIXTURE_AS_OF, stored_tables  # noqa: E402
+from clientele.sources.store import Store  # noqa: E402
 from clientele.sources.tables import save_bucketed  # noqa: E402
 
 
@@ -58,39 +62,73 @@ def _profile(t):
 
 
 def one_join_per_metric(t):
-    """The contact metrics with an order-item join of its own for each of ten families."""
-    facts = _facts(t)
-    orders = F.count_distinct("order_nr")
-    totals = facts.groupBy("customer_id").agg(
-        F.avg("unit_price").alias("avg_item_price"),
-        orders.alias("order_count"),
-        F.count_distinct(F.when(F.col("coupon_money_value") != 0, F.col("order_nr"))).alias("voucher_orders"),
-        F.count_distinct(F.when(F.col("cart_rule_discount") != 0, F.col("order_nr"))).alias("cart_rule_orders"),
-        F.count("canceled_at").alias("n_canceled"),
-        F.count("returned_at").alias("n_returned"),
-        F.sum("is_ship_broken_sla").alias("n_ship_broken"),
-        F.sum("is_refund_broken_sla").alias("n_refund_broken"),
-        F.max("created_at").alias("last_order_date"),
-    )
+    """The contact table with an order-item join of its own for each metric family, as a job of ten queries has it."""
+
+    def family(*columns):
+        return _facts(t).groupBy("customer_id").agg(*columns)
+
+    def share(part, whole, name):
+        return F.try_divide(part.cast("double"), whole.cast("double")).alias(name)
+
+    def used(discount):  # a NULL discount counts as used
+        return F.coalesce(F.col(discount) != 0, F.lit(True))
+
+    def event(ts, value, only, date, text):
+        return last_event(_facts(t), ts, value, only=only, ts_alias=date, value_alias=text)
+
+    items, orders, created = F.count("id_sales_order_item"), F.count_distinct("order_nr"), F.col("created_at")
+    broken_ship, broken_refund = F.col("is_ship_broken_sla") == 1, F.col("is_refund_broken_sla") == 1
+    base = active_customers(family(F.max("created_at").alias("last_order_date"), orders.alias("order_count")), FIXTURE_AS_OF)
     families = [
-        last_event(_facts(t), "canceled_at", "cancel_reason", ts_alias="d1", value_alias="r1"),
-        last_event(_facts(t), "canceled_at", "cancel_reason", only=BAD_CANCEL_REASONS, ts_alias="d2", value_alias="r2"),
-        last_event(_facts(t), "returned_at", "return_reason", ts_alias="d3", value_alias="r3"),
-        last_event(_facts(t), "returned_at", "return_reason", only=BAD_RETURN_REASONS, ts_alias="d4", value_alias="r4"),
-        last_event(_facts(t), "order_created_at", "status", require_ts=False, ts_alias="d5", value_alias="r5"),
+        family(share(F.sum("unit_price"), items, "avg_item_price"), F.try_divide(items, orders).cast("bigint").alias("avg_basket_size")),
+        family(F.max("refund_reject_at").alias("last_refund_reject_date"), share(F.count("refund_reject_at"), items, "refund_reject_ratio")),
+        family(
+            F.max(F.when(used("coupon_money_value"), created)).alias("last_voucher_date"),
+            share(F.count_distinct(F.when(used("coupon_money_value"), F.col("order_nr"))), orders, "order_voucher_ratio"),
+        ),
+        family(
+            F.max(F.when(used("cart_rule_discount"), created)).alias("last_cart_rule_date"),
+            share(F.count_distinct(F.when(used("cart_rule_discount"), F.col("order_nr"))), orders, "order_cart_rule_ratio"),
+        ),
+        family(
+            F.max(F.when(broken_ship, plus_days(created, 3))).alias("last_ship_broken_sla_date"),
+            share(F.count(F.when(broken_ship, 1)), items, "ship_broken_sla_ratio"),
+        ),
+        family(
+            F.max(F.when(broken_refund, plus_days(F.col("ready_for_refund_at"), 7))).alias("last_refund_broken_sla_date"),
+            share(F.count(F.when(broken_refund, 1)), items, "refund_broken_sla_ratio"),
+        ),
+        family(
+            share(F.count(F.when(F.col("is_bad_cancel_reason") == 1, 1)), items, "bad_cancellation_ratio"),
+            share(F.count(F.when(F.col("is_bad_return_reason") == 1, 1)), items, "bad_return_ratio"),
+        ),
+        event("canceled_at", "cancel_reason", None, "last_cancel_date", "last_cancel_reason"),
+        event("canceled_at", "cancel_reason", BAD_CANCEL_REASONS, "last_bad_cancel_date", "last_bad_cancel_reason"),
+        event("returned_at", "return_reason", None, "last_return_date", "last_return_reason"),
+        event("returned_at", "return_reason", BAD_RETURN_REASONS, "last_bad_return_date", "last_bad_return_reason"),
+        last_event(_facts(t), "order_created_at", "status", require_ts=False, value_alias="last_order_status").drop("order_created_at"),
         *[favourite_bucket(_facts(t), kind) for kind in BUCKETS],
+        recent_customer_emails(t["customers"], t["storefront_orders"], FIXTURE_AS_OF),
     ]
-    out = active_customers(totals, FIXTURE_AS_OF)
-    for family in families:
-        out = out.join(family, "customer_id", "left")
-    emails = recent_customer_emails(t["customers"], t["storefront_orders"], FIXTURE_AS_OF)
-    return out.join(emails, "customer_id", "left")
+    out = base
+    for part in families:
+        out = out.join(part, "customer_id", "left")
+    ratios = {b.ratio_column: F.try_divide(F.col(b.count_column).cast("double"), F.col("order_count").cast("double")) for b in BUCKETS.values()}
+    return out.withColumns(ratios).select(*CONTACT_COLUMNS)
+
+
+def _stored(build):
+    """A query by stored steps: they run while it is built."""
+    return lambda t: build(t, Store(t["orders"].sparkSession))
 
 
 HEADLINE = {
     "customer_profile": _profile,
     "customer_metrics": lambda t: customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF),
+    "customer_metrics_stored": _stored(lambda t, store: customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF, store=store)),
     "contact_table": lambda t: build_contacts(t, FIXTURE_AS_OF),
+    "contact_table_stored": _stored(lambda t, store: build_contacts(t, FIXTURE_AS_OF, store=store, stored_sources=True)),
+    "contact_table_snapshot": _stored(lambda t, store: build_contacts(t, FIXTURE_AS_OF, store=store)),
     "contact_export": lambda t: contact_export(build_contacts(t, FIXTURE_AS_OF), FIXTURE_AS_OF, keep=()),
     "one_join_per_metric": one_join_per_metric,
     "item_facts": _facts,
@@ -160,16 +198,15 @@ def main() -> None:
         took = []
         for k in range(runs + 1):  # the first warms up: JIT, file listing, generated code
             group = f"timed:{name}" if k == runs else "untimed"
+            spark.sparkContext.setJobGroup(group, group)
             start = time.perf_counter()
             df = build()
             if hasattr(df, "_jdf"):
                 df._jdf.queryExecution().executedPlan()
-            planned = time.perf_counter()
-            spark.sparkContext.setJobGroup(group, group)
+            plan_sec[name] = round(time.perf_counter() - start, 3)
             execute(df)
-            took.append(time.perf_counter() - planned)
+            took.append(time.perf_counter() - start)
             spark.sparkContext.setJobGroup("untimed", "untimed")
-            plan_sec[name] = round(planned - start, 3)
         timings[name] = round(statistics.median(took[1:]), 3)
 
     for name, build in HEADLINE.items():
@@ -184,11 +221,12 @@ def main() -> None:
 
     stats: dict[str, int] = {}
 
-    def export(out: str) -> None:
-        stats.update(run_contact_export(spark, tables, FIXTURE_AS_OF, out))
+    def export(out: str, stored_sources: bool = True) -> None:
+        stats.update(run_contact_export(spark, tables, FIXTURE_AS_OF, out, stored_sources=stored_sources))
 
     numbers = itertools.count()
     timed("export_job", lambda: f"{scratch}/payloads-{next(numbers)}", export)
+    timed("export_job_snapshot", lambda: f"{scratch}/payloads-{next(numbers)}", lambda out: export(out, False))
 
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     spark.stop()

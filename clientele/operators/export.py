@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.formatting import edge_text, iso_date, scientific_text
 from clientele.functions.timefns import as_of_literal
+from clientele.sources.store import file_system
 
 
 def _date(c: str):
@@ -140,7 +143,33 @@ def write_payloads(payloads: DataFrame, path: str, fmt: str = "parquet", mode: s
 
     Rows are independent, so the write is parallel across tasks.  ``fmt="text"``
     writes one payload document per line (the text sink takes one column).
+    ``mode="overwrite"`` writes beside ``path`` and only puts the finished set in
+    the place of the old one: a failing run leaves the last payloads whole.
     """
     if fmt == "text":
         payloads = payloads.select("payload")
-    payloads.write.mode(mode).format(fmt).save(path)
+    if mode != "overwrite":
+        payloads.write.mode(mode).format(fmt).save(path)
+        return
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    files, staged = file_system(payloads.sparkSession, f"{beside}.new")
+    try:
+        payloads.write.format(fmt).save(staged.toString())
+        _replace(payloads.sparkSession, path, beside)
+    finally:
+        files.delete(staged, True)  # nothing there after a successful run
+
+
+def _replace(spark: SparkSession, path: str, beside: str) -> None:
+    """Rename ``beside``.new to ``path``; what was there is removed, or put back if that fails."""
+    files, target = file_system(spark, path)
+    _, staged = file_system(spark, f"{beside}.new")
+    _, old = file_system(spark, f"{beside}.old")
+    had = files.exists(target)
+    if had and not files.rename(target, old):
+        raise OSError(f"{path} can't be set aside")
+    if not files.rename(staged, target):
+        if had:
+            files.rename(old, target)
+        raise OSError(f"{path} can't be replaced")
+    files.delete(old, True)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.buckets import BUCKETS, bucket
+from clientele.functions.buckets import BUCKETS, Bucket, bucket
 
 
 def favourite_bucket(
@@ -43,40 +43,61 @@ def favourite_bucket(
     )
 
 
-def order_habits(orders: DataFrame, items: DataFrame) -> DataFrame:
+def bucket_masks(ts: Column) -> list[Column]:
+    """Per kind the bits of the buckets that the rows of a group fall into, as an aggregate."""
+    return [F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), spec.part(ts))).alias(mask) for mask, spec in _MASKS.items()]
+
+
+_MASKS = {f"{kind}_mask": spec for kind, spec in BUCKETS.items()}
+MASK_COLUMNS = tuple(_MASKS)
+HABIT_COLUMNS = tuple(c for spec in BUCKETS.values() for c in (spec.column, spec.count_column))
+
+
+def _set_bits(mask: str, base: int, spec: Bucket) -> Column:
+    """``base`` plus the number of every set bit; nearly always it is one."""
+    one = F.lit(1).cast("bigint")
+    m = F.coalesce(F.col(mask), F.lit(0).cast("bigint"))
+    every = F.sequence(F.lit(base + spec.values[0]), F.lit(base + spec.values[-1]))
+    several = F.filter(every, lambda n: m.bitwiseAND(F.call_function("shiftleft", one, n - F.lit(base))) != 0)
+    single = F.array(F.bit_count(m - 1) + F.lit(base))
+    return F.when(m == 0, _none()).when(m.bitwiseAND(m - 1) == 0, single).otherwise(several)
+
+
+def _none() -> Column:
+    return F.array().cast("array<int>")
+
+
+def habits_of(level: DataFrame, flags: dict[str, Column] | None = None) -> DataFrame:
     """Per customer: the favourite bucket of every kind and its count of distinct orders.
 
-    Only orders with a verified item count.  Each order gives one row per kind,
-    numbered ``64 * kind + bucket``; distinct orders are counted per customer and
-    number in two levels, and one maximum per kind picks the winner, as in
-    ``favourite_bucket``.  Customers without a dated order have no row.
+    ``level`` has one row per customer and order number with the masks of
+    ``bucket_masks``, so a plain count of rows is the distinct count.  Each set
+    bit gives a row numbered ``64 * kind + bucket``, and one maximum per kind
+    picks the winner, as in ``favourite_bucket``.  Customers without a dated
+    order have no row.  ``flags`` name columns that count the order numbers for
+    which a condition holds; each is one more number.
     """
-    verified = (
-        items.filter(F.col("finance_verified_at").isNotNull())
-        .select(F.col("fk_sales_order").alias("id_sales_order"))
-        .distinct()
+    flags = flags or {}
+    first = 64 * len(BUCKETS)
+    numbers = F.concat(
+        *[_set_bits(mask, 64 * k, spec) for k, (mask, spec) in enumerate(_MASKS.items())],
+        *[F.when(holds, F.array(F.lit(first + k))).otherwise(_none()) for k, holds in enumerate(flags.values())],
     )
-    ts = F.col("created_at")
-    rows = (
-        orders.filter(F.col("customer_id").isNotNull() & ts.isNotNull())
-        .select("id_sales_order", "customer_id", "order_nr", "created_at")
-        .distinct()
-        .join(verified, "id_sales_order", "left_semi")
-    )
-    numbered = F.array(*[spec.part(ts) + F.lit(64 * k) for k, spec in enumerate(BUCKETS.values())])
     counts = (
-        rows.select("customer_id", "order_nr", F.explode(numbered).alias("number"))
+        level.filter(F.col("order_nr").isNotNull())
+        .select("customer_id", F.explode(numbers).alias("number"))
         .groupBy("customer_id", "number")
-        .agg(F.count_distinct("order_nr").alias("n"))
-        .filter(F.col("n") > 0)
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     kind = F.floor(F.col("number") / F.lit(64))
     packed = F.col("n") * F.lit(64) + (F.lit(63) - F.pmod(F.col("number"), F.lit(64)))
     top = counts.groupBy("customer_id").agg(
-        *[F.max(F.when(kind == k, packed)).alias(f"top_{name}") for k, name in enumerate(BUCKETS)]
+        *[F.max(F.when(kind == k, packed)).alias(f"top_{name}") for k, name in enumerate(BUCKETS)],
+        *[F.max(F.when(F.col("number") == first + k, F.col("n"))).alias(name) for k, name in enumerate(flags)],
     )
     return top.select(
         "customer_id",
+        *flags,
         *[
             column
             for name, spec in BUCKETS.items()

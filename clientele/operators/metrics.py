@@ -20,8 +20,10 @@ the aggregates a caller does not select, so a query for one metric family
 reads and computes only what that family needs.
 
 The "latest event" metrics are ``max(struct(time, text))``.  The calendar
-habits need only order columns and come from a narrow branch of their own
-(``order_habits``), joined by customer.
+habits are counted from level 2 as well, which carries the buckets of an order
+number as bits (``habits_of``).  With a ``Store``, level 1 is written once and all
+branches read it; without one, Spark computes what the habits need of it a
+second time, on few columns.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 
 from clientele.functions.timefns import as_of_literal, minus_days, plus_days
 from clientele.operators.facts import flag_items, order_attributes
-from clientele.operators.habits import order_habits
+from clientele.operators.habits import HABIT_COLUMNS, MASK_COLUMNS, bucket_masks, habits_of
+from clientele.sources.store import Store
 
 
 def _event(at: Column, value: Column) -> Column:
@@ -135,65 +138,124 @@ def orders_of_active_customers(orders: DataFrame, items: DataFrame, as_of, activ
     return orders.join(active, "customer_id", "left_semi")
 
 
-def _combined_orders(orders: DataFrame) -> DataFrame:
-    """One row per order, customer and number: how many rows it stands for, and the latest status."""
-    status = _event(F.col("order_created_at"), F.col("status"))
+def order_rows(orders: DataFrame) -> DataFrame:
+    """One row per order, customer and number: how many rows it stands for, latest status, calendar buckets."""
+    created = F.col("order_created_at")
     return (
         order_attributes(orders)
         .groupBy("id_sales_order", "customer_id", "order_nr")
-        .agg(F.count(F.lit(1)).alias("n_copies"), F.max(status).alias("last_status"))
+        .agg(
+            F.count(F.lit(1)).alias("n_copies"),
+            F.max(_event(created, F.col("status"))).alias("last_status"),
+            *bucket_masks(created),
+        )
     )
 
 
-def customer_metrics(
-    orders: DataFrame,
-    items: DataFrame,
-    as_of,
-    *,
-    ship_sla_days: int = 3,
-    refund_sla_days: int = 7,
-    habits: bool = True,
-    **reason_options,
+def order_level(
+    rows: DataFrame, items: DataFrame, as_of, *, ship_sla_days: int = 3, refund_sla_days: int = 7, **reason_options
 ) -> DataFrame:
-    """One typed row per customer with at least one verified item.
-
-    No recency filter: ``customer_profile`` and ``contact_table`` apply it; pass
-    ``orders_of_active_customers(...)`` as ``orders`` to compute active customers
-    only.  ``reason_options`` go to ``flag_items`` (``bad_cancel_reasons``,
-    ``bad_return_reasons``, ``match``).  ``habits=False`` leaves out the
-    favourite-bucket columns and the branch that computes them.
-    """
+    """Level 1: the verified items of each of ``rows`` (see ``order_rows``), sums over its copies included."""
     flagged = flag_items(
         items, as_of, ship_sla_days=ship_sla_days, refund_sla_days=refund_sla_days, **reason_options
     )
     per_order = _order_partials(flagged, ship_sla_days, refund_sla_days)
-    joined = per_order.join(_combined_orders(orders), F.col("fk_sales_order") == F.col("id_sales_order"), "inner")
-
-    # Spark combines each (customer, order number) group map-side, then
-    # shuffles by both keys: a hot customer or a hot order number is spread or
-    # reduced before any task sees it.
-    copies = F.col("n_copies")
-    per_order_nr = joined.groupBy("customer_id", "order_nr").agg(
-        *[F.sum(F.col(c) * copies).alias(c) for c in _SUMMED],
-        *[F.max(c).alias(c) for c in _MAXED],
+    joined = per_order.join(rows, F.col("fk_sales_order") == F.col("id_sales_order"), "inner")
+    return joined.select(
+        "customer_id",
+        "order_nr",
+        *[(F.col(c) * F.col("n_copies")).alias(c) for c in _SUMMED],
+        *_MAXED,
+        "has_voucher",
+        "has_cart_rule",
+        "last_status",
+        *MASK_COLUMNS,
+    )
+
+
+def _order_numbers(level: DataFrame, *more: Column) -> DataFrame:
+    """Level 2: one row per customer and order number.
+
+    Spark combines each group map-side, then shuffles by both keys: a hot
+    customer or a hot order number is spread or reduced before any task sees it.
+    """
+    return level.groupBy("customer_id", "order_nr").agg(
         F.bool_or("has_voucher").alias("has_voucher"),
         F.bool_or("has_cart_rule").alias("has_cart_rule"),
-        F.max("last_status").alias("last_status"),
+        *[F.bit_or(c).alias(c) for c in MASK_COLUMNS],
+        *more,
     )
 
+
+def _sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in _SUMMED] + [F.max(c).alias(c) for c in (*_MAXED, "last_status")]
+
+
+def customer_metrics(
+    orders: DataFrame, items: DataFrame, as_of, *, habits: bool = True, store: Store | None = None, **options
+) -> DataFrame:
+    """One typed row per customer with at least one verified item.
+
+    No recency filter: ``customer_profile`` and ``contact_table`` apply it; pass
+    ``orders_of_active_customers(...)`` as ``orders``, or use
+    ``active_customer_metrics``, to compute active customers only.  ``options`` are
+    ``ship_sla_days``, ``refund_sla_days`` and those of ``flag_items``
+    (``bad_cancel_reasons``, ``bad_return_reasons``, ``match``).  ``habits=False``
+    leaves out the favourite-bucket columns and the branch that computes them.
+    With a ``store``, level 1 is written there now and the habits always come
+    along; else nothing runs yet.
+    """
+    level = order_level(order_rows(orders), items, as_of, **options)
+    if store is not None:
+        return _metrics_of_stored(store.keep(level, "order_level"))
+    numbers = _order_numbers(level, *_sums())
     order_nr = F.col("order_nr")
-    per_customer = per_order_nr.groupBy("customer_id").agg(
-        *[F.sum(c).alias(c) for c in _SUMMED],
-        *[F.max(c).alias(c) for c in _MAXED],
-        F.max("last_status").alias("last_status"),
+    per_customer = numbers.groupBy("customer_id").agg(
+        *_sums(),
         F.count(order_nr).alias("order_count"),
         F.count(F.when(F.col("has_voucher"), order_nr)).alias("voucher_orders"),
         F.count(F.when(F.col("has_cart_rule"), order_nr)).alias("cart_rule_orders"),
     )
+    metrics = _metric_columns(per_customer)
+    return metrics.join(habits_of(numbers), "customer_id", "left") if habits else metrics
+
+
+def active_customer_metrics(
+    orders: DataFrame, items: DataFrame, as_of, store: Store, *, active_days: int = 30, **options
+) -> DataFrame:
+    """``customer_metrics`` of active customers, by stored steps.
+
+    The order rows of active customers are stored first.  Joined with the
+    items, they let Spark build a Bloom filter of their order ids and apply it
+    in the item scan (``spark.sql.optimizer.runtime.bloomFilter.*``, set by
+    ``build_session``): items of other customers are dropped before they are
+    aggregated or shuffled.  The comparison on ``n_copies`` holds for every row;
+    Catalyst takes it as the sign that the rows are a selection.
+    """
+    active = orders_of_active_customers(orders, items, as_of, active_days)
+    rows = store.keep(order_rows(active), "active_order_rows").where(F.col("n_copies") > 0)
+    return _metrics_of_stored(store.keep(order_level(rows, items, as_of, **options), "order_level"))
+
+
+def _metrics_of_stored(level: DataFrame) -> DataFrame:
+    """All metrics from the stored level 1, which both branches read.
+
+    Sums and maxima need no order numbers and go to the customer at once, so the
+    wide rows are shuffled by customer only; the distinct counts and the habits
+    are counted together from few columns.
+    """
+    flags = {"order_count": F.lit(True), "voucher_orders": F.col("has_voucher"), "cart_rule_orders": F.col("has_cart_rule")}
+    counted = habits_of(_order_numbers(level), flags)
+    joined = level.groupBy("customer_id").agg(*_sums()).join(counted, "customer_id", "left")
+    counts = {name: F.coalesce(name, F.lit(0).cast("bigint")) for name in flags}
+    return _metric_columns(joined.withColumns(counts), *HABIT_COLUMNS)
+
 
+def _metric_columns(per_customer: DataFrame, *more: str) -> DataFrame:
+    """Level 3: the metrics of a customer from the sums, maxima and counts."""
     n_items = F.col("n_items")
     order_count = F.col("order_count")
-    metrics = per_customer.select(
+    return per_customer.select(
         "customer_id",
         _ratio(F.col("sum_price"), n_items).alias("avg_item_price"),
         F.try_divide(n_items, order_count).cast("bigint").alias("avg_basket_size"),
@@ -215,10 +277,8 @@ def customer_metrics(
         n_items.alias("item_count"),
         F.col("last_item_at").alias("last_order_date"),
         *_event_columns(),
+        *more,
     )
-    if not habits:
-        return metrics
-    return metrics.join(order_habits(orders, items), "customer_id", "left")
 
 
 # latest-event output columns: (aggregate column, date column, text column)

@@ -5,24 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.operators.batching import assign_batches
+from clientele.operators.batching import batch_numbers
 from clientele.operators.contacts import contact_table, recent_customer_emails
 from clientele.operators.export import contact_export, contact_payloads, write_payloads
-from clientele.operators.metrics import customer_metrics, orders_of_active_customers
+from clientele.operators.metrics import active_customer_metrics, customer_metrics, orders_of_active_customers
+from clientele.sources.store import Store, snapshot
 
 
 def build_contacts(
     tables: dict[str, DataFrame],
     as_of,
     *,
+    store: Store | None = None,
+    stored_sources: bool = False,
     active_days: int = 30,
     email_days: int = 90,
     require_email: bool = False,
     **metric_options,
 ) -> DataFrame:
-    """Typed contact table from ``tables`` = ``orders, items, customers, storefront_orders``."""
-    orders = orders_of_active_customers(tables["orders"], tables["items"], as_of, active_days)
-    metrics = customer_metrics(orders, tables["items"], as_of, **metric_options)
+    """Typed contact table from ``tables`` = ``orders, items, customers, storefront_orders``.
+
+    Without a ``store`` this is one lazy plan, whose branches each read the
+    sources.  With one, the sources are first stored as a snapshot - each is read
+    exactly once, so all columns speak of the same rows - and the metrics go by
+    stored steps (``active_customer_metrics``).  ``stored_sources=True`` says
+    that the tables don't change and need no snapshot.
+    """
+    if store is None:
+        orders = orders_of_active_customers(tables["orders"], tables["items"], as_of, active_days)
+        metrics = customer_metrics(orders, tables["items"], as_of, **metric_options)
+    else:
+        if not stored_sources:
+            tables = snapshot(tables, store, as_of, email_days)
+        metrics = active_customer_metrics(
+            tables["orders"], tables["items"], as_of, store, active_days=active_days, **metric_options
+        )
     emails = recent_customer_emails(tables["customers"], tables["storefront_orders"], as_of, email_days)
     return contact_table(metrics, emails, as_of, active_days=active_days, require_email=require_email)
 
@@ -36,24 +53,25 @@ def run_contact_export(
     batch_size: int = 999,
     fmt: str = "parquet",
     with_untagged_counts: bool = False,
+    stored_sources: bool = False,
     **contact_options,
 ) -> dict[str, int]:
     """Compute and write one payload row per batch; return contact and batch counts.
 
-    ``assign_batches`` checkpoints the ranked contact table into the shared
-    checkpoint folder, which also cuts the lineage of the heavy metrics
-    plan: a lost executor during the payload stage recomputes from the
-    checkpoint, not from the source tables.
+    The snapshot, the levels and the batch numbers are stored in the shared
+    checkpoint folder: a lost executor during the payload stage recomputes
+    customers from the last level, not from the source tables.  The stored
+    tables are removed at the end.
     """
-    contacts = build_contacts(tables, as_of, **contact_options)
-    batched = assign_batches(contacts, "customer_id", batch_size)
-    payloads = contact_payloads(contact_export(batched, as_of), with_untagged_counts)
-    write_payloads(payloads, out_path, fmt)
-    # Counted from the checkpointed batch table: a small job over stored rows.
-    row = batched.agg(
-        F.count(F.lit(1)).alias("contacts"), F.count_distinct("batch_no").alias("batches")
-    ).first()
-    return {"batches": int(row["batches"]), "contacts": int(row["contacts"])}
+    with Store(spark) as store:
+        contacts = build_contacts(tables, as_of, store=store, stored_sources=stored_sources, **contact_options)
+        numbers = batch_numbers(contacts.select("customer_id"), batch_size)
+        batched = contacts.join(numbers, "customer_id")
+        payloads = contact_payloads(contact_export(batched, as_of), with_untagged_counts)
+        write_payloads(payloads, out_path, fmt)
+        # Counted from the checkpointed numbers: a small job over stored rows.
+        row = numbers.agg(F.count(F.lit(1)).alias("contacts"), F.max("batch_no").alias("last")).first()
+    return {"batches": 0 if row["last"] is None else int(row["last"]) + 1, "contacts": int(row["contacts"])}
 
 
 def main(argv: list[str] | None = None) -> dict[str, int]:
@@ -69,7 +87,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
 
     from clientele.functions.reasons import MATCH_MODES
     from clientele.session import build_session
-    from clientele.sources.tables import SLICE_COLUMNS, checked, read_jdbc_table, read_table
+    from clientele.sources.tables import SLICE_COLUMNS, SOURCE_FILTERS, checked, read_jdbc_table, read_table
 
     parser = argparse.ArgumentParser(description="Customer contact export")
     for name in ("orders", "items", "customers", "storefront-orders"):
@@ -77,8 +95,8 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     parser.add_argument("--format", default="parquet", help="format of the input tables")
     parser.add_argument("--jdbc-url", default=None, help="read the tables from this database instead of files")
     parser.add_argument("--jdbc-driver", default=None, help="driver class, if the URL doesn't tell")
-    parser.add_argument("--jdbc-max-id", type=int, default=None, help="largest order or customer id, bounds the read slices")
     parser.add_argument("--jdbc-slices", type=int, default=64, help="parallel connections per table")
+    parser.add_argument("--stored-sources", action="store_true", help="the files don't change: read them without a snapshot")
     parser.add_argument("--out", required=True, help="where the payload dataset is written")
     parser.add_argument("--out-format", default="parquet", help="parquet, json or text (one document per line)")
     parser.add_argument("--as-of", default=None, help="'YYYY-MM-DD HH:MM:SS' (default: now)")
@@ -99,13 +117,11 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
         "storefront_orders": args.storefront_orders,
     }
     if args.jdbc_url:
-        if args.jdbc_max_id is None:
-            parser.error("--jdbc-url needs --jdbc-max-id")
         properties = {"driver": args.jdbc_driver} if args.jdbc_driver else {}
         tables = {
             name: read_jdbc_table(
-                spark, args.jdbc_url, path, partition_column=SLICE_COLUMNS[name], lower_bound=0,
-                upper_bound=args.jdbc_max_id, num_partitions=args.jdbc_slices, properties=properties,
+                spark, args.jdbc_url, path, key=SLICE_COLUMNS[name], slices=args.jdbc_slices,
+                condition=SOURCE_FILTERS.get(name), properties=properties,
             )
             for name, path in paths.items()
         }
@@ -123,6 +139,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
         email_days=args.email_days,
         require_email=args.require_email,
         match=args.match,
+        stored_sources=args.stored_sources and not args.jdbc_url,
         with_untagged_counts=args.with_untagged_counts,
     )
     print({"as_of": as_of, **stats})

@@ -24,8 +24,11 @@ from clientele.operators.metrics import (
     customer_profile,
     orders_of_active_customers,
 )
+from clientele.plans.contact_job import build_contacts
 from clientele.plans.sql_twins import BATCH_SIZE_SF001
+from clientele.session import checkpoint_dir
 from clientele.sources.fixtures import FIXTURE_AS_OF, fixture_tables
+from clientele.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +55,13 @@ def _contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contact_table(metrics, emails, FIXTURE_AS_OF)
 
 
+def _contacts_from_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By stored steps; the result is checkpointed, so that the stored tables can go."""
+    checkpoint_dir(spark)
+    with Store(spark) as store:
+        return build_contacts(fixture_tables(spark, sf_dir), FIXTURE_AS_OF, store=store).checkpoint(eager=True)
+
+
 def _item_query(*cols: str) -> Query:
     return lambda spark, sf_dir: _facts(spark, sf_dir).select(*cols)
 
@@ -156,6 +166,7 @@ def queries() -> dict[str, Query]:
         "recent_emails": _recent_emails,
         "customer_metrics": _metrics,
         "contact_table": _contacts,
+        "contact_table_snapshot": _contacts_from_snapshot,
         "contact_batches": _contact_batches,
         "contact_export": _contact_export,
         "contact_payloads": _contact_payloads,

@@ -12,6 +12,15 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A Bloom filter of the active customers' orders in the item scan: for item
+    # tables from 1 MB on, from order rows of up to 8 GB (of which only the ids
+    # are hashed), 8 MB of bits at most whatever the data.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "8GB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "67108864",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -17,6 +17,7 @@ Datetimes are TIMESTAMP_NTZ: the source systems store wall-clock time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SALES_ORDER_COLUMNS = ("id_sales_order", "order_nr", "customer_id", "status", "created_at")
 SALES_ITEM_COLUMNS = (
@@ -55,6 +56,10 @@ SLICE_COLUMNS = {
 }
 
 
+#: What the job never uses of a table, left in the database.
+SOURCE_FILTERS = {"orders": "customer_id IS NOT NULL", "items": "finance_verified_at IS NOT NULL"}
+
+
 def checked(df: DataFrame, table: str) -> DataFrame:
     """``df`` itself, if it has the columns of ``table`` and no zoned datetimes among them."""
     wanted = TABLE_COLUMNS[table]
@@ -71,39 +76,62 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def quantile_cuts(keys: DataFrame, key: str, slices: int) -> list[int]:
+    """Key values that cut the rows into about ``slices`` equal parts, however unevenly the keys lie.
+
+    Fewer where single values hold more than a part; none for an empty table.
+    A mergeable sketch finds them, within a tenth of a part.
+    """
+    shares = [k / slices for k in range(1, slices)]
+    found = keys.where(F.col(key).isNotNull()).approxQuantile(key, shares, 0.1 / slices) if shares else []
+    return sorted({int(x) for x in found})
+
+
+def slice_predicates(key: str, cuts: list[int], condition: str | None = None) -> list[str]:
+    """One SQL condition a slice: below the first cut (or NULL), between cuts, from the last on.
+
+    Together they hold for every row that ``condition`` holds for, each row once.
+    """
+    if not cuts:
+        return [condition or "1 = 1"]
+    ranges = [f"({key} < {cuts[0]} OR {key} IS NULL)"]
+    ranges += [f"({key} >= {a} AND {key} < {b})" for a, b in zip(cuts, cuts[1:], strict=False)]
+    ranges.append(f"({key} >= {cuts[-1]})")
+    return [f"{r} AND ({condition})" for r in ranges] if condition else ranges
+
+
 def read_jdbc_table(
     spark: SparkSession,
     url: str,
     table: str,
     *,
-    partition_column: str,
-    lower_bound: int,
-    upper_bound: int,
-    num_partitions: int,
+    key: str,
+    slices: int,
+    condition: str | None = None,
     properties: dict[str, str] | None = None,
     fetch_size: int = 10_000,
 ) -> DataFrame:
-    """A database table read in ``num_partitions`` parallel range slices.
-
-    The source job sent each of its ten metric queries to the database on
-    its own; here each table is read once, split on a numeric key so no
-    single connection carries the table.  Credentials come from
-    ``properties`` (e.g. from the cluster's secret store), never from code.
+    """A database table read in about ``slices`` parallel slices of equal size.
+
+    The key column alone is read first, in even ranges between the table's own
+    least and largest key, and its quantiles are the cut points: gaps, a late
+    start or a dense end of the keys leave no slice empty and none too large.
+    ``condition`` goes to the database with each slice (see ``SOURCE_FILTERS``).
+    Credentials come from ``properties`` (e.g. from the cluster's secret store),
+    never from code.
     """
-    reader = (
-        spark.read.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .option("partitionColumn", partition_column)
-        .option("lowerBound", str(lower_bound))
-        .option("upperBound", str(upper_bound))
-        .option("numPartitions", str(num_partitions))
-        .option("fetchsize", str(fetch_size))
-        .option("preferTimestampNTZ", "true")
-    )
-    for key, value in (properties or {}).items():
-        reader = reader.option(key, value)
-    return reader.load()
+    options = {"fetchsize": str(fetch_size), "preferTimestampNTZ": "true", **(properties or {})}
+
+    def read(query: str, **more: str) -> DataFrame:
+        return spark.read.format("jdbc").options(url=url, dbtable=query, **options, **more).load()
+
+    ends = read(f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}) ends").first()
+    cuts: list[int] = []
+    if ends is not None and ends[0] is not None:
+        even = {"partitionColumn": key, "lowerBound": str(ends[0]), "upperBound": str(int(ends[1]) + 1)}
+        keys = read(f"(SELECT {key} FROM {table}) ids", numPartitions=str(slices), **even)
+        cuts = quantile_cuts(keys, key, slices)
+    return spark.read.jdbc(url, table, predicates=slice_predicates(key, cuts, condition), properties=options)
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:

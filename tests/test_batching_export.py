@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clientele.functions.formatting import scientific_text
 from clientele.operators.batching import assign_batches
-from clientele.operators.export import FIELD_IDS, contact_export, contact_payloads
+from clientele.operators.export import FIELD_IDS, contact_export, contact_payloads, write_payloads
 from clientele.plans.registry import queries
 from conftest import SF01
 
@@ -132,3 +132,34 @@ def test_payload_sinks(spark):
     assert spark.read.json(f"{base}/json").count() == 4
     docs = [json.loads(r["value"]) for r in spark.read.text(f"{base}/text").collect()]
     assert sorted(len(d["contacts"]) for d in docs) == [25, 50, 50, 50]
+
+
+def test_a_failing_write_leaves_the_last_payloads(spark, tmp_path):
+    path = str(tmp_path / "payloads")
+    first = spark.range(5).select(F.col("id").alias("batch_no"), F.lit("old").alias("payload"))
+    write_payloads(first, path)
+    broken = spark.range(0, 50, 1, 5).select(
+        F.col("id").alias("batch_no"), F.when(F.col("id") == 49, F.raise_error(F.lit("lost"))).otherwise(F.lit("new")).alias("payload")
+    )
+    with pytest.raises(Exception, match="lost"):
+        write_payloads(broken, path)
+    assert {r.payload for r in spark.read.parquet(path).collect()} == {"old"}
+    assert [p.name for p in tmp_path.iterdir()] == ["payloads"], "nothing else is left"
+    write_payloads(broken.where("batch_no < 49"), path)
+    assert spark.read.parquet(path).count() == 49
+    assert [p.name for p in tmp_path.iterdir()] == ["payloads"]
+
+
+def test_only_keys_are_checkpointed(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, checkpoint = [], DataFrame.checkpoint
+
+    def noted(self, eager=True):
+        seen.append(set(self.columns))
+        return checkpoint(self, eager)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", noted)
+    rows = assign_batches(spark.range(10).select(F.col("id").alias("customer_id"), F.lit("wide").alias("text")), size=4).collect()
+    assert seen == [{"customer_id"}, {"customer_id", "_shard", "_pos"}]
+    assert sorted((r.customer_id, r.batch_pos, r.batch_no, r.text) for r in rows) == [(i, i, i // 4, "wide") for i in range(10)]

@@ -1,0 +1,132 @@
+"""One snapshot a run: each source is read once, and all columns speak of the same rows."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from clientele.operators.metrics import active_customer_metrics, customer_metrics, order_level, order_rows
+from clientele.plans.contact_job import build_contacts
+from clientele.plans.inspect import plan_text
+from clientele.sources.fixtures import FIXTURE_AS_OF
+from clientele.sources.store import Store, file_system, snapshot
+
+
+def counted(spark, df):
+    """``df``, and an accumulator of the rows that are read of it, over all evaluations."""
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(count, df.schema), rows
+
+
+def same(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_every_source_row_is_read_once(spark, stored):
+    sources, rows = {}, {}
+    for name, df in stored.items():
+        sources[name], rows[name] = counted(spark, df)
+    with Store(spark) as store:
+        assert build_contacts(sources, FIXTURE_AS_OF, store=store).count() == 175
+        assert {n: r.value for n, r in rows.items()} == {n: df.count() for n, df in stored.items()}
+
+
+def test_a_source_that_changes_during_the_run(spark, stored, tmp_path):
+    items = str(tmp_path / "items")
+    stored["items"].write.parquet(items)
+    sources = {**stored, "items": spark.read.parquet(items)}
+    with Store(spark) as store:
+        contacts = build_contacts(sources, FIXTURE_AS_OF, store=store)
+        later = stored["items"].withColumns({"canceled_at": F.lit(None).cast("timestamp_ntz"), "unit_price": F.col("unit_price") + 1})
+        later.write.mode("overwrite").parquet(items)
+        assert same(contacts, build_contacts(stored, FIXTURE_AS_OF))
+
+
+def test_snapshot_keeps_what_a_run_can_use(spark, stored):
+    with Store(spark) as store:
+        kept = snapshot(stored, store, FIXTURE_AS_OF)
+        assert kept["items"].where("finance_verified_at is null").isEmpty()
+        assert 0 < kept["storefront_orders"].count() < stored["storefront_orders"].count()
+        assert kept["orders"].count() == stored["orders"].where("customer_id is not null").count()
+        assert kept["items"].dtypes == stored["items"].select(*kept["items"].columns).dtypes
+        files, path = file_system(spark, store.folder)
+        assert files.exists(path)
+    assert not files.exists(path), "a store is removed at its end"
+
+
+def test_stored_metrics_equal_lazy_ones(spark, stored):
+    with Store(spark) as store:
+        a = customer_metrics(stored["orders"], stored["items"], FIXTURE_AS_OF)
+        b = customer_metrics(stored["orders"], stored["items"], FIXTURE_AS_OF, store=store)
+        assert a.dtypes == b.dtypes and same(a, b)
+
+
+def test_stored_metrics_of_odd_orders(spark):
+    """Copies, two customers for one order, two times for one number, NULL numbers and times."""
+    at = "timestamp_ntz'2024-05-01 10:00:00'"
+    orders = spark.sql(
+        f"""SELECT * FROM VALUES (1L, 'a', 7L, 'new', {at}), (1L, 'a', 7L, 'new', {at}), (1L, 'a', 8L, 'new', {at}),
+        (2L, 'a', 7L, 'done', {at} + INTERVAL 50 HOURS), (3L, NULL, 7L, 'x', {at}), (4L, 'b', 9L, 'x', NULL),
+        (5L, 'c', NULL, 'x', {at}), (6L, 'd', 7L, 'x', {at} + INTERVAL 50 HOURS) AS t(id_sales_order, order_nr, customer_id, status, created_at)"""
+    )
+    null = "CAST(NULL AS TIMESTAMP_NTZ)"
+    items = spark.sql(
+        f"""SELECT id * 10 AS id_sales_order_item, id AS fk_sales_order, CAST(id AS DECIMAL(18, 2)) AS unit_price,
+        IF(id = 2, 0D, NULL) AS coupon_money_value, 0D AS cart_rule_discount, {at} AS created_at, {at} AS finance_verified_at,
+        {null} AS shipped_at, IF(id < 3, {at}, NULL) AS canceled_at, 'SC/Bob Error' AS cancel_reason, {null} AS returned_at,
+        CAST(NULL AS STRING) AS return_reason, {null} AS ready_for_refund_at, {null} AS refund_completed_at,
+        {null} AS refund_reject_at FROM range(1, 7)"""
+    )
+    with Store(spark) as store, Store(spark) as other:
+        a = customer_metrics(orders, items, "2024-05-02 00:00:00")
+        b = customer_metrics(orders, items, "2024-05-02 00:00:00", store=store)
+        c = active_customer_metrics(orders, items, "2024-05-02 00:00:00", other)
+        assert same(a, b) and same(a, c)
+        rows = {r.customer_id: r for r in a.collect()}
+    assert set(rows) == {7, 8, 9}
+    assert (rows[7].order_count, rows[7].item_count, rows[7].hour_of_day_most_order, rows[7].order_count_hod_most_order) == (2, 5, 12, 2)
+    assert (rows[9].order_count, rows[9].hour_of_day_most_order) == (1, None)
+
+
+def test_items_of_other_customers_are_dropped_in_the_scan(spark, stored):
+    """A Bloom filter of the active orders lies right above the item scan, below the aggregation."""
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with Store(spark) as store:
+            active_customer_metrics(stored["orders"], stored["items"], FIXTURE_AS_OF, store).count()
+            rows = spark.read.parquet(f"{store.folder}/active_order_rows").where("n_copies > 0")
+            text = plan_text(order_level(rows, stored["items"], FIXTURE_AS_OF), "simple").splitlines()
+            filters = [i for i, line in enumerate(text) if "might_contain" in line]
+            assert len(filters) == 1
+            below = "\n".join(text[filters[0] + 1 :]).split("Subquery")[0]
+            assert "fk_sales_order" in text[filters[0]] and "Aggregate" not in below.split("FileScan")[0]
+            above = "\n".join(text[: filters[0]])
+            assert above.count("functions=[") >= 1 and "Exchange hashpartitioning(fk_sales_order" in above
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1MB")
+
+
+def test_order_rows_carry_every_bucket(spark):
+    at = "timestamp_ntz'2024-05-01 10:00:00'"
+    orders = spark.sql(
+        f"SELECT * FROM VALUES (1L, 'a', 7L, 'new', {at}), (1L, 'a', 7L, 'old', {at} - INTERVAL 3 HOURS) AS t(id_sales_order, order_nr, customer_id, status, created_at)"
+    )
+    row = order_rows(orders).first()
+    assert (row.n_copies, row.hour_mask, row.weekday_mask, row.monthday_mask, row.month_mask) == (2, 1 << 10 | 1 << 7, 1 << 4, 1 << 1, 1 << 5)
+    assert row.last_status.value == "new"
+
+
+@pytest.mark.parametrize("what", ["missing", "local"])
+def test_store_lies_in_the_shared_folder(spark, what, tmp_path):
+    store = Store(spark) if what == "missing" else Store(spark, str(tmp_path))
+    kept = store.keep(spark.range(3), "three")
+    assert kept.count() == 3 and os.path.basename(store.folder) in kept.inputFiles()[0]
+    store.remove()

@@ -1,0 +1,33 @@
+"""Cut points and conditions of a sliced database read."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from clientele.sources.tables import SLICE_COLUMNS, SOURCE_FILTERS, TABLE_COLUMNS, quantile_cuts, slice_predicates
+
+
+@pytest.mark.parametrize("condition", [None, "n % 2 = 0"])
+@pytest.mark.parametrize("slices", [1, 2, 8])
+def test_slices_hold_every_row_once(spark, slices, condition):
+    # a gap, a dense end, a value that a third of the rows have, NULLs
+    keys = [*range(100), *range(10**9, 10**9 + 2000), *([500] * 1000), *([None] * 5)]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, n long")
+    predicates = slice_predicates("k", quantile_cuts(df, "k", slices), condition)
+    counts = [df.where(p).count() for p in predicates]
+    wanted = df.where(condition) if condition else df
+    assert sum(counts) == wanted.count() and min(counts) > 0
+    if slices == 8 and condition is None:
+        assert len(counts) >= 5 and sorted(counts)[-2] <= 2 * 3100 / 8, "only the pile of one value is larger"
+        ids = [r.n for p in predicates for r in df.where(p).collect()]
+        assert sorted(ids) == list(range(len(keys)))
+
+
+def test_no_rows_no_cuts(spark):
+    assert quantile_cuts(spark.range(0), "id", 4) == [] and slice_predicates("id", []) == ["1 = 1"]
+    assert quantile_cuts(spark.range(5).select(F.lit(None).cast("long").alias("id")), "id", 4) == []
+    assert slice_predicates("id", [], "x > 1") == ["x > 1"]
+
+
+def test_each_table_has_a_slice_column_of_its_own():
+    assert all(SLICE_COLUMNS[t] in TABLE_COLUMNS[t] for t in TABLE_COLUMNS)
+    assert set(SOURCE_FILTERS) <= set(TABLE_COLUMNS)
