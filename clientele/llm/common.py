@@ -53,6 +53,12 @@ def tasks_for(rows: int, rows_a_task: int = 100_000) -> int:
     return max(1, -(-rows // rows_a_task))
 
 
+def tasks_for_bytes(df: DataFrame, column: str, bytes_a_task: int = 16 << 20) -> int:
+    """Tasks for a frame whose ``column`` of text or bytes makes up most of it."""
+    total = df.agg(F.sum(F.octet_length(column) + 64).alias("n")).first()["n"]
+    return tasks_for(total or 0, bytes_a_task)
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[list[list]], list[list]], schema: str
 ) -> DataFrame:

@@ -109,9 +109,10 @@ def _verified(
 
 
 def linked_components(
-    candidates: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int, text_tasks: int
+    candidates: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int, text_tasks: int,
+    start: DataFrame | None = None,
 ) -> DataFrame:
-    """Components (node, component) of the candidate pairs that prove similar.
+    """Components (node, component) of the candidate pairs that prove similar, and of the links ``start`` (a, b).
 
     ``candidates``: (a long, b long, likeness int), a < b, once each; ``texts``:
     (id long, text), which ``text_tasks`` tasks can hold.  Only links between components matter, so the likeliest
@@ -119,17 +120,16 @@ def linked_components(
     component, and at last every candidate left between two components.  A
     candidate inside one component is the only kind that isn't verified.
     """
-    edges = open_ = None
+    edges = start
+    open_ = candidates.select("a", "b", "likeness", F.col("a").alias("ca"), F.col("b").alias("cb"))
     tasks = tasks_for(candidates.count())
     for step in ("text", "component", "rest"):
-        if edges is None:
-            open_ = candidates.select("a", "b", "likeness", F.col("a").alias("ca"), F.col("b").alias("cb"))
-        else:
+        if edges is not None:
             comp = cut(components(edges))
             of_a = comp.select(F.col("node").alias("a"), F.col("component").alias("na"))
             of_b = comp.select(F.col("node").alias("b"), F.col("component").alias("nb"))
             open_ = cut(
-                open_.join(of_a, "a", "left").join(of_b, "b", "left")
+                open_.drop("ca", "cb").join(of_a, "a", "left").join(of_b, "b", "left")
                 .select("a", "b", "likeness", F.coalesce("na", "a").alias("ca"), F.coalesce("nb", "b").alias("cb"))
                 .where("ca <> cb").coalesce(tasks)
             )
