@@ -174,7 +174,7 @@ def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, p
     return (100 * both >= percent * (sizes[left][:, None] + sizes[right][None, :] - both)) & (both > 0)
 
 
-def _compared(rows: DataFrame, shingles: Callable[[str], np.ndarray], percent: int) -> DataFrame:
+def compared(rows: DataFrame, shingles: Callable[[str], np.ndarray], percent: int) -> DataFrame:
     """(key, a, b, degree): links that join components, and of each block the line with most links (b null).
 
     ``rows``: key, block (long), side, id, component, text.  Within a block all
@@ -280,7 +280,7 @@ def linked_buckets(
     rows = still_open(members)
     if rows.isEmpty():
         return linked
-    found = _compared(
+    found = compared(
         spelt(rows.select("key", F.col("own").alias("block"), F.lit(2).alias("side"), "id", "component")), shingles, percent
     )
     linked = join_up(found)
@@ -295,7 +295,7 @@ def linked_buckets(
     hubs = hubs.select("key", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), "id", "component")
     others = rows.select("key", F.col("own").alias("block"), F.lit(0).alias("side"), "id", "component")
     each = others.union(hubs.select("key", "block", F.lit(1).alias("side"), "id", "component"))
-    linked = join_up(_compared(spelt(each), shingles, percent))
+    linked = join_up(compared(spelt(each), shingles, percent))
     rows = still_open(large)
     if rows.isEmpty():
         return linked
@@ -304,4 +304,4 @@ def linked_buckets(
     low, high = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side")
     pairs = pairs.select("key", (low * F.col("blocks") + high).alias("block"), side, "id", "component")
-    return join_up(_compared(spelt(pairs), shingles, percent))
+    return join_up(compared(spelt(pairs), shingles, percent))
