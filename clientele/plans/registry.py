@@ -15,7 +15,7 @@ from clientele.functions.reasons import BAD_CANCEL_REASONS, BAD_RETURN_REASONS
 from clientele.operators.batching import assign_batches
 from clientele.operators.contacts import contact_table, recent_customer_emails
 from clientele.operators.events import last_event
-from clientele.operators.export import contact_export, contact_payloads
+from clientele.operators.export import contact_export, contact_payloads, write_payloads
 from clientele.operators.facts import item_facts
 from clientele.operators.habits import favourite_bucket
 from clientele.operators.metrics import (
@@ -127,6 +127,17 @@ def _contact_payloads(spark, sf_dir):
     return contact_payloads(contact_export(batched, FIXTURE_AS_OF))
 
 
+def _written_payloads(spark, sf_dir):
+    """What the payload sink holds after a second run replaced the first."""
+    checkpoint_dir(spark)
+    with Store(spark) as store:
+        path = f"{store.folder}/payloads"
+        payloads = store.keep(_contact_payloads(spark, sf_dir), "made")
+        write_payloads(payloads.withColumn("payload", F.lit("old")), path)
+        write_payloads(payloads, path)
+        return spark.read.parquet(path).checkpoint(eager=True)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "item_facts": _item_facts,
@@ -170,5 +181,6 @@ def queries() -> dict[str, Query]:
         "contact_batches": _contact_batches,
         "contact_export": _contact_export,
         "contact_payloads": _contact_payloads,
+        "written_payloads": _written_payloads,
     }
     return q

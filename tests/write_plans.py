@@ -25,7 +25,7 @@ def main():
            "with automatic broadcast joins off (the shape at scale: no input is small) and 200 shuffle",
            "partitions, before adaptive re-planning. Long expression lists are cut at 150 characters;",
            "`Exchange` lines are the shuffles.", ""]
-    for name in ["customer_metrics", "contact_table", "last_cancel", "favourite_hour", "recent_emails", "contact_batches"]:
+    for name in ["customer_metrics", "contact_table", "contact_table_stored", "last_cancel", "favourite_hour", "recent_emails", "contact_batches"]:
         df = q[name](tables)
         s = plan_summary(df)
         text = plan_text(df, "simple")
