@@ -1,10 +1,14 @@
+import hashlib
 import random
+from collections import Counter
 
+import duckdb
 import numpy as np
-from llm_rows import ODD, docs_of  # noqa: F401
+from llm_rows import ODD, SF01, docs_of  # noqa: F401
 
 from clientele.llm.fuzzy_lines import WIDTH, band_keys, fuzzy_line_dedup, normal_line
 from clientele.llm.links import MinHash, char_shingles, similar
+from clientele.llm.queries import queries
 
 
 def brute_gone(docs, percent=80, least=20):
@@ -34,6 +38,53 @@ def brute_gone(docs, percent=80, least=20):
     return {p for g in groups.values() for p in set(g) - {min(g)}}
 
 
+def gone_by_rarest_shingles(docs, percent=80, least=20):
+    """As ``brute_gone``; only lines that share one of their rarest fifth of shingles can be alike."""
+    places = {}
+    for d, text in docs:
+        for i, line in enumerate((text or "").split("\n")):
+            if len(line) >= least and len(normal_line(line)) >= least:
+                places.setdefault(normal_line(line), []).append((d, i))
+    sets = {x: {x.encode()[i : i + WIDTH] for i in range(len(x.encode()) - WIDTH + 1)} for x in places}
+    often = Counter(s for shingles in sets.values() for s in shingles)
+    parent = {x: x for x in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    having = {}
+    for x in sorted(sets, key=lambda x: (len(sets[x]), x)):
+        rarest = sorted(sets[x], key=lambda s: (often[s], s))[: len(sets[x]) - -(-percent * len(sets[x]) // 100) + 1]
+        for y in {y for s in rarest for y in having.get(s, ())}:
+            both = len(sets[x] & sets[y])
+            if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                parent[find(x)] = find(y)
+        for s in rarest:
+            having.setdefault(s, []).append(x)
+    groups = {}
+    for x in sets:
+        groups.setdefault(find(x), []).extend(places[x])
+    return {p for g in groups.values() for p in set(g) - {min(g)}}
+
+
+def test_query_removes_what_all_pairs_remove(spark):
+    docs = duckdb.sql(f"select doc_id, text from '{SF01}/documents.parquet'").fetchall()
+    gone = gone_by_rarest_shingles(docs)
+    rows = {r.doc_id: r for r in queries()["op2_fuzzy_lines"](spark, SF01).collect()}
+    assert len(rows) == len(docs) and len(gone) > 1000
+    for d, text in docs:
+        lines = (text or "").split("\n")
+        kept = "\n".join(x for i, x in enumerate(lines) if (d, i) not in gone)
+        assert rows[d].n_removed == sum((d, i) in gone for i in range(len(lines)))
+        assert rows[d].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_prefixes_of_rarest_shingles_lose_nothing():
+    assert gone_by_rarest_shingles(corpus()) == brute_gone(corpus())
+
+
 def corpus(seed=1):
     r = random.Random(seed)
 

@@ -102,5 +102,6 @@ def test_query_equals_brute_force(spark):
                 gone[i : i + 400] = b"\x01" * 400
         kept = bytes(b for b, g in zip(data, gone, strict=True) if not g)
         r = got[doc_id]
-        assert (r.n_bytes, r.n_removed) == (len(data), len(data) - len(kept))
+        n_spans = sum(g and not before for g, before in zip(gone, b"\x00" + gone, strict=False))
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (len(data), len(data) - len(kept), n_spans)
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()

@@ -70,5 +70,5 @@ def test_five_stages_are_registered():
     import __spark_entry__
 
     assert len(corpus_pipeline.STAGES) == 5 and "pipeline" in __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in __spark_entry__.queries()) == 1
