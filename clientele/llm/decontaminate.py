@@ -3,7 +3,8 @@
 An item of m characters may differ by an error budget of k edits.  Cut into
 k + 1 pieces, at least one piece must appear unchanged.  All pieces are searched
 at once; around every piece hit the item is verified with Myers' bit-parallel
-edit distance.
+edit distance.  Short items have no budget: they must appear unchanged, as whole
+words.
 """
 
 from __future__ import annotations
@@ -62,13 +63,13 @@ class Matcher:
     """A block of items against any number of texts."""
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int):
-        self.items, self.pieces = [], ahocorasick.Automaton()
+        self.items, self.pieces, self.min_chars = [], ahocorasick.Automaton(), min_chars
         at: dict[str, list[tuple[int, int]]] = {}
         for item_id, raw in items:
             text = normal(raw)
-            if len(text) < min_chars:
+            if not text:
                 continue
-            k = int(len(text) * error_rate)
+            k = int(len(text) * error_rate) if len(text) >= min_chars else 0
             n = len(self.items)
             self.items.append((item_id, k, Pattern(text), Pattern(text[::-1])))
             cuts = [len(text) * i // (k + 1) for i in range(k + 2)]
@@ -92,6 +93,11 @@ class Matcher:
         for n, found in starts.items():
             item_id, k, forward, backward = self.items[n]
             best = None
+            if forward.m < self.min_chars:
+                whole = [s for s in found if _stands_alone(text, s, s + forward.m)]
+                if whole:
+                    out.append({"item_id": item_id, "distance": 0, "start": min(whole), "end": min(whole) + forward.m})
+                continue
             for low, high in _runs(sorted(found), 2 * k + 1):
                 left = max(0, low - k)
                 window = text[left : max(0, high + forward.m + k)]
@@ -104,6 +110,14 @@ class Matcher:
         return sorted(out, key=lambda x: (x["item_id"] is None, x["item_id"], x["start"]))
 
 
+def _stands_alone(text: str, start: int, end: int) -> bool:
+    """Neither end of the part cuts a word of letters and digits."""
+    return not (
+        (start > 0 and text[start - 1].isalnum() and text[start].isalnum())
+        or (end < len(text) and text[end - 1].isalnum() and text[end].isalnum())
+    )
+
+
 def _runs(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
     """First and last of each run of starts whose windows overlap by their slack."""
     low = high = starts[0]
@@ -142,8 +156,9 @@ def match_items(
     blank) appears anywhere in the document's within floor(error_rate * length)
     edits; ``start`` and ``end`` count characters of the normalised document.
     Of several places of one item the nearest counts, then the first.  Items of
-    fewer than ``min_chars`` characters, and null ones, match nothing; a null or
-    empty document has no matches.  The items are a query set: blocks of at most
+    fewer than ``min_chars`` characters match only unchanged and as whole words
+    (with edits, or inside a word, they would match by chance); null and blank
+    ones match nothing; a null or empty document has no matches.  The items are a query set: blocks of at most
     ``block_chars`` characters are held against all documents, one pass a block.
     """
     small_batches(docs.sparkSession)

@@ -65,6 +65,16 @@ def test_matches_equal_brute_force():
             assert best_distance(normal(dict(items)[m["item_id"]]), part)[0] == m["distance"]
 
 
+def test_short_items_match_unchanged_as_whole_words():
+    matcher = Matcher([(1, "Tiny"), (2, "of the  day?"), (3, "日本"), (4, " "), (5, "x" * 40)], 0.1, 40)
+    for text, want in [
+        ("destiny, tinys", {}), ("a TINY\tthing, tiny", {1: 2}), ("tin y", {}), ("destiny (tiny)", {1: 9}),
+        ("news of the day? yes", {2: 5}), ("news of the day yes", {}), ("proof the day?", {}), ("", {}), (None, {}),
+        ("x" * 39, {5: 0}), ("。日本。", {3: 1}),
+    ]:
+        assert {m["item_id"]: m["start"] for m in matcher.matches(text)} == want, text
+
+
 def test_blocks_and_odd_rows(spark, docs_of):
     bench = spark.createDataFrame(
         [(1, "Same text here for all"), (2, None), (3, "tiny"), (None, "text without an identifier"), (1, "word " * 9)],
