@@ -8,6 +8,10 @@ segmentations in order of their score.
 No piece crosses the start of a word, so a text's lattice is a chain of its
 words' lattices.  A word is solved once and kept; the text's N best
 segmentations are the N best combinations of its words' segmentations.
+
+The scores of a model of merge ranks are no log probabilities, so its best
+segmentation is not what the library encodes with it.  The library's own ids,
+those to train on, are therefore given beside the N best, word by word too.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ class PieceModel:
     def __init__(self, path: str, cache_words: int = 300_000):
         import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = range(sp.vocab_size())
         pieces = [sp.id_to_piece(i) for i in ids]
         self.byte_ids = {int(pieces[i][3:5], 16): i for i in ids if sp.is_byte(i)}
@@ -90,6 +94,19 @@ class PieceModel:
         self.flat = np.empty(0, np.int32)
         self.start, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
         self.score, self.behind = np.empty(0), np.empty(0)
+        #: the same of the library's ids
+        self.own_flat = np.empty(0, np.int32)
+        self.own_start, self.own_length = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _keep(self, words: list[str]) -> None:
+        """Forget all words but these, which have been solved."""
+        rows = np.array([self.rows[w] for w in words], np.int64)
+        self.rows = dict(zip(words, range(len(words)), strict=True))
+        self.flat, ends = _gather(self.flat, self.start[rows], self.length[rows])
+        self.start, self.length = ends[:-1], self.length[rows]
+        self.score, self.behind = self.score[rows], self.behind[rows]
+        self.own_flat, ends = _gather(self.own_flat, self.own_start[rows], self.own_length[rows])
+        self.own_start, self.own_length = ends[:-1], self.own_length[rows]
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -233,27 +250,31 @@ class PieceModel:
                 top[better] = first[better]
         at = np.full(w, n, np.int64)
         lanes = np.arange(w)
-        out = np.full((w, n), -2, np.int32)
+        out, begin = np.full((w, n), -2, np.int32), np.zeros((w, n), np.int16)
         for k in range(n - 1, -1, -1):
             going = lanes[at[lanes] > 0]
             if not len(going):
                 break
             out[going, k] = last_id[at[going], going]
-            at[going] = last_start[at[going], going]
+            at[going] = begin[going, k] = last_start[at[going], going]
             lanes = going
         used = out != -2
         counts, flat = used.sum(axis=1), out[used]
         odd = np.flatnonzero((out == -1).any(axis=1))  # words with characters written as bytes
         if len(odd):
-            parts = np.split(flat, np.cumsum(counts)[:-1])
+            ends, parts, done = np.cumsum(counts).tolist(), [], 0
             for k in odd.tolist():
-                parts[k] = np.array(self.solve(words[k])[0], np.int32)
-                counts[k] = len(parts[k])
-            flat = np.concatenate(parts)
+                steps = zip(begin[k][used[k]].tolist(), out[k][used[k]].tolist(), strict=True)
+                parts += [flat[done : ends[k] - counts[k]], np.array(self._spell(words[k], list(steps)), np.int32)]
+                done, counts[k] = ends[k], len(parts[-1])
+            flat = np.concatenate([*parts, flat[done:]])
         return flat, counts, best[n], best[n] - second[n]
 
     def learn(self, words: Iterable[str]) -> None:
         """Solve new words and keep them."""
+        words = list(words)
+        if not words:
+            return
         by_length: dict[int, list[str]] = {}
         for word in words:
             by_length.setdefault(len(word), []).append(word)
@@ -271,6 +292,15 @@ class PieceModel:
                 self.rows.update(zip(some, range(len(self.rows), len(self.rows) + len(some)), strict=True))
         self.flat, self.length, self.score, self.behind = (np.concatenate(x) for x in zip(*parts, strict=True))
         self.start = np.cumsum(self.length) - self.length
+        # the library puts the first mark in front itself
+        ordered = list(chain.from_iterable(by_length.values()))
+        own = self.library.encode([w[1:] for w in ordered])
+        lone = self.trie.get(MARK)  # a last blank: nothing is left to encode
+        own = [x if w != MARK else self._spell(w, [(0, lone[1] if lone else -1)]) for w, x in zip(ordered, own, strict=True)]
+        self.own_length = np.concatenate([self.own_length, np.fromiter(map(len, own), np.int64, len(own))])
+        total = int(self.own_length.sum()) - len(self.own_flat)
+        self.own_flat = np.concatenate([self.own_flat, np.fromiter(chain.from_iterable(own), np.int32, total)])
+        self.own_start = np.cumsum(self.own_length) - self.own_length
 
     def n_best(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """(score, ids) of the ``n`` best segmentations of one word, by A-star from its end."""
@@ -306,16 +336,22 @@ class PieceModel:
 
     def encode(self, text: str, n: int = 1) -> tuple[list[int], list[dict]]:
         """Ids of the best segmentation, and the ``n`` best as score, pieces and changed words."""
-        ids, _, best = self.encode_batch([text], n)
+        ids, _, best, _, _ = self.encode_batch([text], n)
         return ids.tolist(), best[0]
 
-    def encode_batch(self, texts: list[str], n: int = 1) -> tuple[np.ndarray, np.ndarray, list[list[dict]]]:
-        """Ids of all texts end to end, where each text's begin (and the end), and each text's ``n`` best."""
+    def encode_batch(
+        self, texts: list[str], n: int = 1
+    ) -> tuple[np.ndarray, np.ndarray, list[list[dict]], np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, where each text's begin (and the end), and each text's ``n`` best;
+        the library's ids of all texts, and where each text's begin (and the end).
+
+        Beyond ``cache_words`` only the words of these texts stay solved.
+        """
         words = [self.words(t) for t in texts]
-        new = set(chain.from_iterable(words)).difference(self.rows)
+        all_words = set(chain.from_iterable(words))
+        new = all_words.difference(self.rows)
         if len(self.rows) + len(new) > self.cache_words:
-            self._forget()
-            new = set(chain.from_iterable(words))
+            self._keep(list(all_words - new))
         self.learn(new)
         ends = np.cumsum([0, *map(len, words)])
         rows = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(words)), np.int64, int(ends[-1]))
@@ -328,7 +364,8 @@ class PieceModel:
             best.append([{"score": total, "n_pieces": pieces, "swaps": []}])
             if n > 1 and own:
                 best[k] += self._combine(own, mine, total, pieces, n)
-        return ids, starts, best
+        own_ids, own_ends = _gather(self.own_flat, self.own_start[rows], self.own_length[rows])
+        return ids, starts, best, own_ids, own_ends[ends]
 
     def _combine(self, words: list[str], rows: np.ndarray, total: float, n_ids: int, n: int) -> list[dict]:
         """Segmentations 2 to ``n`` of the text: fewest lost points over combinations of words' own lists.
@@ -383,7 +420,8 @@ def _gather(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np
 
 SCHEMA = (
     "doc_id long, n_bytes long, n_pieces long, ids array<int>, ids_crc32 long, "
-    "best array<struct<score:double,n_pieces:long,swaps:array<struct<word:long,ids:array<int>>>>>, round_trip boolean"
+    "best array<struct<score:double,n_pieces:long,swaps:array<struct<word:long,ids:array<int>>>>>, round_trip boolean, "
+    "n_library long, library_ids array<int>, library_crc32 long"
 )
 
 
@@ -393,10 +431,13 @@ def encode_pieces(docs: DataFrame, model: str, n: int = 4, with_ids: bool = True
     ``best`` lists score and pieces of each segmentation in order of score, with
     the words where it differs from the first.  ``round_trip`` says that the
     decoded ids give the text again; it is false only for texts that hold the
-    mark U+2581 itself, which decodes to a blank.  A null or empty text has no
+    mark U+2581 itself, which decodes to a blank.  ``library_ids`` are the ids
+    that the library itself encodes the text to, ``n_library`` many; they differ
+    from ``ids`` with models of merge ranks.  A null or empty text has no
     ids and one empty segmentation of score 0.  ``model`` is a path on every
-    executor.  ``ids`` are null without ``with_ids``; ``ids_crc32`` is the
-    checksum of the ids as 32-bit little-endian integers.  Equal scores keep the
+    executor.  ``ids`` and ``library_ids`` are null without ``with_ids``;
+    ``ids_crc32`` and ``library_crc32`` are the checksums of the ids as 32-bit
+    little-endian integers.  Equal scores keep the
     order in which the search meets them, which the text alone decides.  Rows
     with null or equal doc_id stand for themselves; other columns are ignored.
     """
@@ -406,20 +447,30 @@ def encode_pieces(docs: DataFrame, model: str, n: int = 4, with_ids: bool = True
         if not loaded:
             loaded.append(PieceModel(model))
         texts = [t or "" for t in columns[1]]
-        ids, starts, best = loaded[0].encode_batch(texts, n)
-        ids = ids.astype("<i4")
+        ids, starts, best, own_ids, own_starts = loaded[0].encode_batch(texts, n)
         raw = [t.encode() for t in texts]
-        ends = starts.tolist()
         return [
             columns[0],
             [len(x) for x in raw],
             np.diff(starts).tolist(),
-            pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids)) if with_ids else [None] * len(raw),
-            [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(ends, ends[1:], strict=False)],
+            listed(ids, starts),
+            checksums(ids, starts),
             best,
             [a == b for a, b in zip(loaded[0].decode_batch(ids, starts), raw, strict=True)],
+            np.diff(own_starts).tolist(),
+            listed(own_ids, own_starts),
+            checksums(own_ids, own_starts),
         ]
 
+    def listed(ids: np.ndarray, starts: np.ndarray) -> pa.Array | list[None]:
+        if not with_ids:
+            return [None] * (len(starts) - 1)
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
+
+    def checksums(ids: np.ndarray, starts: np.ndarray) -> list[int]:
+        data, ends = ids.astype("<i4").tobytes(), (starts * 4).tolist()
+        return [zlib.crc32(data[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCHEMA)
 
 

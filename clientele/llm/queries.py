@@ -54,7 +54,7 @@ def op5_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_pieces(_table(spark, sf_dir, "documents"), model, with_ids=False)
     return encoded.select(
         "doc_id", "n_bytes", "n_pieces", "ids_crc32", F.col("best.score").alias("best_scores"),
-        F.col("best.n_pieces").alias("best_pieces"), "round_trip",
+        F.col("best.n_pieces").alias("best_pieces"), "round_trip", "n_library", "library_crc32",
     )
 
 

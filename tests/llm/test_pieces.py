@@ -1,6 +1,8 @@
 import random
+import zlib
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -67,12 +69,25 @@ def test_decoding_equals_the_library(model):
         assert model.decode(sp.encode(text)) == sp.decode(sp.encode(text))
 
 
+def test_kept_words_stay_solved():
+    small, fresh = PieceModel(PATH, cache_words=40), PieceModel(PATH)
+    r = random.Random(8)
+    words = ["".join(r.choice("theanionr.é\n👍") for _ in range(r.randrange(1, 9))) for _ in range(60)]
+    for _ in range(30):
+        texts = [" ".join(r.choice(words) for _ in range(r.randrange(0, 12))) for _ in range(4)]
+        got, want = small.encode_batch(texts, 3), fresh.encode_batch(texts, 3)
+        assert got[2] == want[2]
+        assert all(np.array_equal(got[i], want[i]) for i in (0, 1, 3, 4))
+
+
 def test_odd_rows(docs_of):
     encoded = encode_pieces(docs_of(ODD), PATH)
     rows = encoded.collect()
     assert len(rows) == len(ODD) and all(r.round_trip for r in rows)
     by_id = {r.doc_id: r for r in rows}
     assert by_id[1].ids == [] and by_id[1].best[0].score == 0.0
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    assert all(by_id[d].library_ids == sp.encode(t or "") for d, t in ODD)
     back = {r.doc_id: r.text for r in decode_pieces(encoded, PATH).collect()}
     assert all(back[d] == (t or "") for d, t in ODD)
     assert not encode_pieces(docs_of([(1, "a ▁ b")]), PATH).first().round_trip
@@ -83,6 +98,9 @@ def test_query_decodes_every_text(spark):
     rows = queries()["op5_encode_pieces"](spark, SF01).collect()
     texts = dict(duckdb.sql(f"select doc_id, text from '{SF01}/documents.parquet'").fetchall())
     assert len(rows) == len(texts)
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
     for r in rows:
+        own = sp.encode(texts[r.doc_id])
+        assert (r.n_library, r.library_crc32) == (len(own), zlib.crc32(np.array(own, "<i4").tobytes()))
         assert r.round_trip and r.n_bytes == len(texts[r.doc_id].encode())
         assert r.best_scores == sorted(r.best_scores, reverse=True) and r.best_pieces[0] == r.n_pieces
