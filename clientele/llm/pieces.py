@@ -20,6 +20,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterable
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -418,6 +419,12 @@ def _gather(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np
     return pool[at], ends
 
 
+@lru_cache(maxsize=1)
+def _model(path: str) -> PieceModel:
+    """One model a Python worker: its solved words serve the worker's later tasks too."""
+    return PieceModel(path)
+
+
 SCHEMA = (
     "doc_id long, n_bytes long, n_pieces long, ids array<int>, ids_crc32 long, "
     "best array<struct<score:double,n_pieces:long,swaps:array<struct<word:long,ids:array<int>>>>>, round_trip boolean, "
@@ -441,13 +448,11 @@ def encode_pieces(docs: DataFrame, model: str, n: int = 4, with_ids: bool = True
     order in which the search meets them, which the text alone decides.  Rows
     with null or equal doc_id stand for themselves; other columns are ignored.
     """
-    loaded: list[PieceModel] = []
 
     def run(columns: list[list]) -> list[list]:
-        if not loaded:
-            loaded.append(PieceModel(model))
+        loaded = _model(model)
         texts = [t or "" for t in columns[1]]
-        ids, starts, best, own_ids, own_starts = loaded[0].encode_batch(texts, n)
+        ids, starts, best, own_ids, own_starts = loaded.encode_batch(texts, n)
         raw = [t.encode() for t in texts]
         return [
             columns[0],
@@ -456,7 +461,7 @@ def encode_pieces(docs: DataFrame, model: str, n: int = 4, with_ids: bool = True
             listed(ids, starts),
             checksums(ids, starts),
             best,
-            [a == b for a, b in zip(loaded[0].decode_batch(ids, starts), raw, strict=True)],
+            [a == b for a, b in zip(loaded.decode_batch(ids, starts), raw, strict=True)],
             np.diff(own_starts).tolist(),
             listed(own_ids, own_starts),
             checksums(own_ids, own_starts),
@@ -476,11 +481,9 @@ def encode_pieces(docs: DataFrame, model: str, n: int = 4, with_ids: bool = True
 
 def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
     """One row a document: doc_id and the text of its ``ids``; null ids give a null text."""
-    loaded: list[PieceModel] = []
 
     def run(columns: list[list]) -> list[list]:
-        if not loaded:
-            loaded.append(PieceModel(model))
-        return [columns[0], [None if ids is None else loaded[0].decode(ids) for ids in columns[1]]]
+        loaded = _model(model)
+        return [columns[0], [None if ids is None else loaded.decode(ids) for ids in columns[1]]]
 
     return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, text string")
