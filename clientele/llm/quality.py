@@ -80,6 +80,13 @@ def class_counts(text: str) -> np.ndarray:
     return np.bincount(found, minlength=N_CLASSES + 1)[:N_CLASSES]
 
 
+def one_case(classes: np.ndarray) -> np.ndarray:
+    """Upper counted with lower: a clean text may hold whole sentences of capitals."""
+    out = classes.copy()
+    out[0], out[1] = classes[0] + classes[1], 0
+    return out
+
+
 def plain_words(text: str) -> list[bytes]:
     return text.encode().translate(ALNUM_ONLY).split()
 
@@ -143,7 +150,7 @@ def language_references(docs: DataFrame, top_words: int, max_word: int, max_lang
                 counts, words = by_lang.setdefault((lang or "", script), Counter()), plain_words(text)
                 counts.update(words)
                 counts[b"\x00"] += 1  # documents; classes are \x01 and their number: no words look so
-                for i, n in enumerate(classes.tolist()):
+                for i, n in enumerate(one_case(classes).tolist()):
                     counts[b"\x01%d" % i] += n
                 counts[b"\x02"] += len(words)
             rows = [(*key, w, n) for key, c in by_lang.items() for w, n in c.items() if _is_word(w, max_word)]
@@ -248,7 +255,7 @@ def quality_rules(
             mixed = place.get(("", script)) if (lang or "", script) not in place or not lang else None
             against = shared if mixed is None else np.append(shared, mixed)
             if len(against) and len(text) >= min_chars:
-                near_class = float(js_distance(measured.astype(float), classes[against]).min())
+                near_class = float(js_distance(one_case(measured).astype(float), classes[against]).min())
             if len(against) and len(words) >= min_words:
                 seen = np.bincount([vocabulary.get(w, width - 1) for w in words], minlength=width + 1).astype(float)
                 p = seen[own[against]]

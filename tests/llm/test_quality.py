@@ -118,6 +118,11 @@ def plain_words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c < "\x80" else c for c in text))
 
 
+def one_case_counts(text):
+    lower, upper, *rest = class_counts(text).tolist()
+    return [lower + upper, 0, *rest]
+
+
 def plain_distance(p, q):
     """Jensen-Shannon distance of two histograms, by the sum over their bins."""
     total = 0.0
@@ -137,7 +142,7 @@ def plain_verdicts(rows, named=None):
     for _, text, lang in rows:
         key = key_of(text, lang)
         if not plain(text)[-1] and key[1]:
-            classes.setdefault(key, Counter()).update(dict(enumerate(class_counts(text).tolist())))
+            classes.setdefault(key, Counter()).update(dict(enumerate(one_case_counts(text))))
             words.setdefault(key, Counter()).update(plain_words_of(text))
     out = {}
     for doc_id, text, lang in rows:
@@ -146,7 +151,7 @@ def plain_verdicts(rows, named=None):
         for other in classes:
             if not other[0] and other != key:
                 continue
-            near_class.append(plain_distance(class_counts(text).tolist(), [classes[other][i] for i in range(10)]))
+            near_class.append(plain_distance(one_case_counts(text), [classes[other][i] for i in range(10)]))
             top = sorted(words[other].items(), key=lambda x: (-x[1], x[0].encode()))[:50]
             mine = Counter(plain_words_of(text))
             p, q = [mine[w] for w, _ in top], [n for _, n in top]
