@@ -9,8 +9,9 @@ else.  Three steps find these strings:
     stretch, and only stretches of one anchor can share strings.  Anchors that
     occur once drop out, stretches that are equal as a whole are settled by
     their number.
-2.  Transforms.  What is left, the different stretches of one anchor, is cut into
-    shards.  A shard's transform lists its rotations in order, each with the
+2.  Transforms.  What is left, the different stretches of one anchor, is reduced
+    to the parts that share enough bytes around the anchor with another stretch
+    to hold a repeat (``shared_parts``), and cut into shards.  A shard's transform lists its rotations in order, each with the
     symbol before it.  Two transforms are merged by refining their interleaving,
     one symbol deeper a round, without sorting the rotations again.  Blocks of
     rotations that agree to the full depth are the repeated intervals.
@@ -290,6 +291,40 @@ def _halves(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
+def shared_parts(rows: list[dict], length: int, cells: int = 8) -> list[dict]:
+    """The rows of whole groups, cut to what may repeat inside their group; others go.
+
+    A group's range of distances is dealt into ``cells``.  All strings whose
+    distance lies in one cell hold the bytes around the anchor that the cell's
+    first and last string share, so strings without a partner in the cell's hash
+    of these bytes can't repeat.  The strings from a row's first to its last
+    cell with a partner stay together, for the transforms to settle.
+    """
+    places: list[list[tuple[int, int, tuple]]] = []
+    seen: dict[tuple, int] = {}
+    for r in rows:
+        distance, data = r["distance"], r["data"]
+        least = distance - (len(data) - length)  # distance of the last start
+        width = -(-(r["far"] - r["near"] + 1) // cells)
+        found = []
+        for near in range(r["near"], r["far"] + 1, width):
+            far = min(near + width - 1, r["far"])
+            first, last = min(distance, far), max(least, near)
+            if first >= last:
+                core = r["key"], near, hash(data[distance - near : distance - far + length])
+                seen[core] = seen.get(core, 0) + 1
+                found.append((distance - first, distance - last, core))
+        places.append(found)
+    out = []
+    for r, found in zip(rows, places, strict=True):
+        met = [(a, b) for a, b, core in found if seen[core] > 1]
+        if met:
+            begin, end = min(a for a, _ in met), max(b for _, b in met)
+            part = {"low": r["low"] + begin, "distance": r["distance"] - begin, "data": r["data"][begin : end + length]}
+            out.append(r | part)
+    return out
+
+
 def _stored(df: DataFrame) -> DataFrame:
     """Written to the shared folder and read again."""
     path = f"{shared_dir(df.sparkSession)}/repeats-{uuid.uuid4().hex}"
@@ -326,6 +361,11 @@ def _compare(open_: DataFrame, length: int, batch_bytes: int) -> DataFrame:
     """Starts of the once-occurring stretches that occur in another stretch of their group."""
 
     def solve(rows: list[dict]) -> list[tuple[int, int, int]]:
+        rows = shared_parts(rows, length)
+        single = {r["key"] for r in rows if r["n"] == 1}
+        rows = [r for r in rows if r["key"] in single]
+        if not rows:
+            return []
         flags = repeated_starts([r["data"] for r in rows], [r["n"] for r in rows], length)
         return [
             (r["doc_key"], r["low"] + a, r["low"] + b)
@@ -356,7 +396,7 @@ def _compare(open_: DataFrame, length: int, batch_bytes: int) -> DataFrame:
             yield emit(rows)
 
     parts = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = open_.select("key", "doc_key", "low", "n", "data").repartition(parts, "key")
+    dealt = open_.select("key", "near", "far", "doc_key", "low", "distance", "n", "data").repartition(parts, "key")
     return dealt.sortWithinPartitions("key", "doc_key", "low").mapInArrow(run, STARTS)
 
 

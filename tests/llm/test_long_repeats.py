@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from llm_rows import ODD, SF01, docs_of  # noqa: F401
 
-from clientele.llm.long_repeats import Rotations, build, merge, remove_repeats, repeated_starts
+from clientele.llm.long_repeats import Rotations, build, merge, remove_repeats, repeated_starts, shared_parts
 from clientele.llm.queries import queries
 
 
@@ -105,3 +105,40 @@ def test_query_equals_brute_force(spark):
         n_spans = sum(g and not before for g, before in zip(gone, b"\x00" + gone, strict=False))
         assert (r.n_bytes, r.n_removed, r.n_spans) == (len(data), len(data) - len(kept), n_spans)
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
+@pytest.mark.parametrize("cells", [1, 3, 8, 40])
+def test_shared_parts_lose_no_repeat(cells):
+    r = random.Random(cells)
+    length, gram = 30, 8
+    for _ in range(40):
+        core = "".join(r.choice("abc") for _ in range(r.randrange(gram, 60)))
+        rows = []
+        for k in range(r.randrange(1, 7)):
+            data = list(core)
+            for _ in range(r.randrange(3)):
+                data[r.randrange(len(data))] = "x"
+            left = r.randrange(length - gram + 1)
+            data = ["y"] * left + data + ["z"] * (length - min(length, left + len(data)))
+            rows.append({
+                "key": k // 4, "near": 0, "far": length - gram, "doc_key": k, "low": 100, "distance": left,
+                "n": 1, "data": "".join(data[: left + length]).encode(),
+            })
+        parts = shared_parts(rows, length, cells)
+        for key in {x["key"] for x in rows}:
+            windows = Counter(
+                (x["distance"] - i, x["data"][i : i + length])
+                for x in rows if x["key"] == key
+                for i in range(len(x["data"]) - length + 1)
+            )
+            kept = Counter(
+                (x["distance"] - i, x["data"][i : i + length])
+                for x in parts if x["key"] == key
+                for i in range(len(x["data"]) - length + 1)
+            )
+            repeated = {w: n for w, n in windows.items() if n > 1}
+            assert {w: kept[w] for w in repeated} == repeated
+        for x in parts:
+            whole = next(y for y in rows if y["doc_key"] == x["doc_key"])
+            at = x["low"] - whole["low"]
+            assert whole["data"][at : at + len(x["data"])] == x["data"] and whole["distance"] - at == x["distance"]
