@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.reasons import BAD_CANCEL_REASONS, BAD_RETURN_REASONS, reason_flag
+from clientele.functions.reasons import BAD_CANCEL_REASONS, BAD_RETURN_REASONS, with_reason_flag
 from clientele.functions.timefns import as_of_literal, sla_broken
 
 
@@ -17,8 +17,8 @@ def flag_items(
     *,
     ship_sla_days: int = 3,
     refund_sla_days: int = 7,
-    bad_cancel_reasons: Iterable[str] = BAD_CANCEL_REASONS,
-    bad_return_reasons: Iterable[str] = BAD_RETURN_REASONS,
+    bad_cancel_reasons: Iterable[str] | DataFrame = BAD_CANCEL_REASONS,
+    bad_return_reasons: Iterable[str] | DataFrame = BAD_RETURN_REASONS,
     match: str = "exact",
 ) -> DataFrame:
     """Financially verified items only, with four integer flags added.
@@ -27,21 +27,22 @@ def flag_items(
       by ``as_of``) more than ``ship_sla_days`` whole days, else NULL;
     * ``is_refund_broken_sla``: the same from ready-for-refund to refund
       completed, ``refund_sla_days``;
-    * ``is_bad_cancel_reason`` / ``is_bad_return_reason``: 1 or 0.
+    * ``is_bad_cancel_reason`` / ``is_bad_return_reason``: 1 or 0; the reasons
+      are a list, or a DataFrame for lists too long for one (``with_reason_flag``).
 
     The verified filter is a plain ``IS NOT NULL`` and reaches the scan.
     """
     now = as_of_literal(as_of)
-    return items.filter(F.col("finance_verified_at").isNotNull()).withColumns(
+    flagged = items.filter(F.col("finance_verified_at").isNotNull()).withColumns(
         {
             "is_ship_broken_sla": sla_broken(F.col("created_at"), F.col("shipped_at"), now, ship_sla_days),
             "is_refund_broken_sla": sla_broken(
                 F.col("ready_for_refund_at"), F.col("refund_completed_at"), now, refund_sla_days
             ),
-            "is_bad_cancel_reason": reason_flag(F.col("cancel_reason"), bad_cancel_reasons, match),
-            "is_bad_return_reason": reason_flag(F.col("return_reason"), bad_return_reasons, match),
         }
     )
+    flagged = with_reason_flag(flagged, "cancel_reason", "is_bad_cancel_reason", bad_cancel_reasons, match)
+    return with_reason_flag(flagged, "return_reason", "is_bad_return_reason", bad_return_reasons, match)
 
 
 def order_attributes(orders: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clientele.operators.batching import batch_numbers
 from clientele.operators.contacts import contact_table, recent_customer_emails
 from clientele.operators.export import contact_export, contact_payloads, write_payloads
+from clientele.operators.losses import Losses, source_conditions
 from clientele.operators.metrics import active_customer_metrics, customer_metrics, orders_of_active_customers
 from clientele.sources.store import Store, snapshot
 
@@ -21,6 +22,7 @@ def build_contacts(
     active_days: int = 30,
     email_days: int = 90,
     require_email: bool = False,
+    losses: Losses | None = None,
     **metric_options,
 ) -> DataFrame:
     """Typed contact table from ``tables`` = ``orders, items, customers, storefront_orders``.
@@ -29,14 +31,17 @@ def build_contacts(
     sources.  With one, the sources are first stored as a snapshot - each is read
     exactly once, so all columns speak of the same rows - and the metrics go by
     stored steps (``active_customer_metrics``).  ``stored_sources=True`` says
-    that the tables don't change and need no snapshot.
+    that the tables don't change and need no snapshot.  ``losses`` counts, as the
+    snapshot is taken, the source rows that the run drops.
     """
     if store is None:
         orders = orders_of_active_customers(tables["orders"], tables["items"], as_of, active_days)
         metrics = customer_metrics(orders, tables["items"], as_of, **metric_options)
     else:
         if not stored_sources:
-            tables = snapshot(tables, store, as_of, email_days)
+            lists = ("bad_cancel_reasons", "bad_return_reasons", "match")
+            conditions = source_conditions(**{k: metric_options[k] for k in lists if k in metric_options})
+            tables = snapshot(tables, store, as_of, email_days, losses, conditions)
         metrics = active_customer_metrics(
             tables["orders"], tables["items"], as_of, store, active_days=active_days, **metric_options
         )
@@ -54,6 +59,7 @@ def run_contact_export(
     fmt: str = "parquet",
     with_untagged_counts: bool = False,
     stored_sources: bool = False,
+    count_losses: bool = False,
     **contact_options,
 ) -> dict[str, int]:
     """Compute and write one payload row per batch; return contact and batch counts.
@@ -62,16 +68,27 @@ def run_contact_export(
     checkpoint folder: a lost executor during the payload stage recomputes
     customers from the last level, not from the source tables.  The stored
     tables are removed at the end.
+
+    ``count_losses`` adds, without a further job, ``contacts_without_email``
+    and, unless ``stored_sources``, ``orders_without_customer``,
+    ``unverified_items``, ``unlisted_cancel_reasons`` and
+    ``unlisted_return_reasons`` (verified items whose reason no list names).
     """
+    losses = Losses() if count_losses else None
     with Store(spark) as store:
-        contacts = build_contacts(tables, as_of, store=store, stored_sources=stored_sources, **contact_options)
+        contacts = build_contacts(
+            tables, as_of, store=store, stored_sources=stored_sources, losses=losses, **contact_options
+        )
         numbers = batch_numbers(contacts.select("customer_id"), batch_size)
         batched = contacts.join(numbers, "customer_id")
+        if losses is not None:
+            batched = losses.watch(batched, contacts_without_email=F.col("email").isNull())
         payloads = contact_payloads(contact_export(batched, as_of), with_untagged_counts)
         write_payloads(payloads, out_path, fmt)
         # Counted from the checkpointed numbers: a small job over stored rows.
         row = numbers.agg(F.count(F.lit(1)).alias("contacts"), F.max("batch_no").alias("last")).first()
-    return {"batches": 0 if row["last"] is None else int(row["last"]) + 1, "contacts": int(row["contacts"])}
+    stats = {"batches": 0 if row["last"] is None else int(row["last"]) + 1, "contacts": int(row["contacts"])}
+    return stats if losses is None else {**stats, **losses.counts()}
 
 
 def main(argv: list[str] | None = None) -> dict[str, int]:
@@ -105,6 +122,9 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     parser.add_argument("--email-days", type=int, default=90, help="storefront order window for e-mails")
     parser.add_argument("--require-email", action="store_true", help="drop contacts without e-mail")
     parser.add_argument("--match", choices=MATCH_MODES, default="exact", help="reason matching (ci: case, trailing blanks)")
+    parser.add_argument("--bad-cancel-reasons", default=None, help="text file(s) of bad cancellation reasons, one a line")
+    parser.add_argument("--bad-return-reasons", default=None, help="text file(s) of bad return reasons, one a line")
+    parser.add_argument("--count-losses", action="store_true", help="also count dropped rows, missing e-mails and unlisted reasons")
     parser.add_argument("--with-untagged-counts", action="store_true", help="add the always-0 count fields")
     args = parser.parse_args(argv)
 
@@ -128,6 +148,11 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     else:
         tables = {name: read_table(spark, path, args.format) for name, path in paths.items()}
     tables = {name: checked(df, name) for name, df in tables.items()}
+    reasons = {
+        name: spark.read.text(path).where("value <> ''")
+        for name, path in (("bad_cancel_reasons", args.bad_cancel_reasons), ("bad_return_reasons", args.bad_return_reasons))
+        if path
+    }
     stats = run_contact_export(
         spark,
         tables,
@@ -141,6 +166,8 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
         match=args.match,
         stored_sources=args.stored_sources and not args.jdbc_url,
         with_untagged_counts=args.with_untagged_counts,
+        count_losses=args.count_losses,
+        **reasons,
     )
     print({"as_of": as_of, **stats})
     return stats

@@ -38,6 +38,14 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_facts(t["orders"], t["items"], FIXTURE_AS_OF)
 
 
+def _flags_by_reason_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bad reasons come as a table: here all that have an odd number of characters."""
+    t = fixture_tables(spark, sf_dir)
+    reasons = t["items"].where("length(cancel_reason) % 2 = 1").select("cancel_reason")
+    facts = item_facts(t["orders"], t["items"], FIXTURE_AS_OF, bad_cancel_reasons=reasons)
+    return facts.select("fk_sales_order", "id_sales_order_item", "cancel_reason", "is_bad_cancel_reason")
+
+
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixture_tables(spark, sf_dir)
     return customer_metrics(t["orders"], t["items"], FIXTURE_AS_OF)
@@ -147,6 +155,7 @@ def queries() -> dict[str, Query]:
         ),
         "bad_cancel_flag": _item_query("fk_sales_order", "id_sales_order_item", "cancel_reason", "is_bad_cancel_reason"),
         "bad_return_flag": _item_query("fk_sales_order", "id_sales_order_item", "return_reason", "is_bad_return_reason"),
+        "bad_cancel_flag_table": _flags_by_reason_table,
         "avg_item_price": _metric_query("avg_item_price"),
         "avg_basket_size": _metric_query("avg_basket_size"),
         "last_refund_reject": _metric_query("last_refund_reject_date"),

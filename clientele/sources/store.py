@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.timefns import as_of_literal, minus_days
+from clientele.operators.losses import Losses
 from clientele.session import checkpoint_dir
 from clientele.sources.tables import TABLE_COLUMNS
 
@@ -50,7 +51,14 @@ class Store:
         self.remove()
 
 
-def snapshot(tables: dict[str, DataFrame], store: Store, as_of, email_days: int = 90) -> dict[str, DataFrame]:
+def snapshot(
+    tables: dict[str, DataFrame],
+    store: Store,
+    as_of,
+    email_days: int = 90,
+    losses: Losses | None = None,
+    conditions: dict[str, dict[str, Column]] | None = None,
+) -> dict[str, DataFrame]:
     """The four source tables, each read exactly once and stored: what every branch of the run then reads.
 
     A source that changes while a run goes on - a live database, a folder being
@@ -59,6 +67,10 @@ def snapshot(tables: dict[str, DataFrame], store: Store, as_of, email_days: int
     with a customer, storefront orders of the e-mail window.  These filters and
     projections reach the source; rows are written where they are read, without
     a shuffle, so a hot order or customer costs nothing extra.
+
+    With ``losses`` the ``conditions`` of each source are counted as it is read.
+    Rows must then be read to be counted: the filter of a counted source no
+    longer reaches it.
     """
     since = minus_days(as_of_literal(as_of), email_days)
     wanted = {
@@ -67,7 +79,10 @@ def snapshot(tables: dict[str, DataFrame], store: Store, as_of, email_days: int
         "customers": F.col("id_customer").isNotNull(),
         "storefront_orders": F.col("fk_customer").isNotNull() & (F.col("created_at") >= since),
     }
-    return {
-        name: store.keep(tables[name].where(condition).select(*TABLE_COLUMNS[name]), name)
-        for name, condition in wanted.items()
-    }
+    kept = {}
+    for name, condition in wanted.items():
+        rows = tables[name].select(*TABLE_COLUMNS[name])
+        if losses is not None and (counted := (conditions or {}).get(name)):
+            rows = losses.watch(rows, **counted)
+        kept[name] = store.keep(rows.where(condition), name)
+    return kept
