@@ -142,3 +142,30 @@ def test_shared_parts_lose_no_repeat(cells):
             whole = next(y for y in rows if y["doc_key"] == x["doc_key"])
             at = x["low"] - whole["low"]
             assert whole["data"][at : at + len(x["data"])] == x["data"] and whole["distance"] - at == x["distance"]
+
+
+#: Differences d of two texts with sum(d[i] * base^i) = 0 modulo 2^64: their polynomial hashes are equal.
+BASE, EQUAL_HASH = 0x9E3779B97F4A7C15, [-2, -4, -6, 5, 6, 3, 0, -2, 2, 0, 3, 0, 1, -1, 0, -2, -5, -2]
+
+
+def equal_hashes(left, right, differences=EQUAL_HASH):
+    """Two texts, unlike in the middle only."""
+    middle = (tuple(chr(109 + max(s * d, 0)) for d in differences) for s in (1, -1))
+    return [left + "".join(x) + right for x in middle]
+
+
+def test_texts_of_equal_polynomial_hashes_are_no_repeats(docs_of):
+    assert sum(d * BASE**i for i, d in enumerate(EQUAL_HASH)) % 2**64 == 0
+    r = random.Random(1)
+    texts = []
+    for _ in range(20):  # no string of 400 bytes without the middle
+        left, right = ("".join(r.choice("abcdefgh ") for _ in range(300)) for _ in range(2))
+        texts += equal_hashes(left, right)
+    rows = remove_repeats(docs_of(list(enumerate(texts)))).collect()
+    assert [(x.n_removed, x.n_spans) for x in rows] == [(0, 0)] * 40
+    assert all(bytes(x.kept).decode() == texts[x.doc_id] for x in rows)
+
+
+def test_rotations_number_symbols_by_their_bytes():
+    strings = [x.encode() for x in equal_hashes("a" * 30, "b" * 52, EQUAL_HASH[::-1])]
+    assert not any(f.any() for f in repeated_starts(strings, [1, 1], 100))
