@@ -8,7 +8,7 @@ needed until few documents share it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -164,13 +164,14 @@ def _pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], names=["a", "b", "likeness"])
 
 
-def _regions(sets: DataFrame, linked: DataFrame, trees: int, block: int, deepest: int) -> DataFrame:
-    """(key, own, id, component, hub): sets dealt into the regions of the forest that hold two components or more.
+def _regions(sets: DataFrame, linked: DataFrame, trees: int, block: int, deepest: int) -> tuple[DataFrame, DataFrame]:
+    """(key, own, side, id, component): sets dealt into the regions of the forest that hold two components or more.
 
     A region shares a tree's first value; one of more than ``block`` sets is
     divided by the tree's next value, up to ``deepest`` values.  What is larger
     then is dealt into several parts (``own``), and the set with most members in
-    its component goes to every part (``hub``).
+    its component goes to every part.  The second frame has the sets (key, id) of
+    these larger regions, whose parts haven't met each other.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,20 +212,79 @@ def _regions(sets: DataFrame, linked: DataFrame, trees: int, block: int, deepest
     parts = F.ceil(F.col("n") / block).cast("long")
     spread = F.pmod(F.xxhash64("id"), parts)
     every = F.when(F.col("id") == F.col("hub"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(spread))
-    return out.select("key", F.explode(every).alias("own"), "id", "component")
+    dealt = out.select("key", F.explode(every).alias("own"), F.lit(2).alias("side"), "id", "component")
+    return dealt, out.where(F.col("n") > block).select("key", "id")
+
+
+def _sized(large: DataFrame, linked: DataFrame, block: int) -> DataFrame:
+    """(key, id, component, main, parts, others): the sets of regions that still hold two components or more.
+
+    ``main`` is the component with most sets of the region, ``parts`` the blocks
+    that all its sets fill, ``others`` those that the sets outside ``main`` fill.
+    Of regions with the same sets one is enough.
+    """
+    of = linked.select(F.col("node").alias("id"), F.col("component").alias("found"))
+    rows = large.join(of, "id", "left").select("key", "id", F.coalesce("found", "id").alias("component"))
+    each = rows.groupBy("key", "component").agg(
+        F.count("*").alias("m"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"), F.min("id").alias("low")
+    )
+    size = each.groupBy("key").agg(
+        F.sum("m").alias("n"), F.max(F.struct("m", "component")).alias("top"), F.count("*").alias("kinds"),
+        F.sum("s").alias("s"), F.min("low").alias("low"),
+    ).where("kinds > 1")
+    one = size.groupBy("n", "s", "low").agg(F.min(F.struct("key", "top")).alias("one"))
+    blocks = [F.ceil(c / block).cast("long") for c in (F.col("n"), F.col("n") - F.col("one.top.m"))]
+    one = one.select("one.key", F.col("one.top.component").alias("main"), blocks[0].alias("parts"), blocks[1].alias("others"))
+    return cut(rows.join(one, "key"))
+
+
+def _may_link(rows: DataFrame, texts: DataFrame, shingles: Callable[[str], np.ndarray], percent: int) -> DataFrame:
+    """The ids (id, component) in ``rows`` that hold ``percent`` of their shingles in common with other components.
+
+    A link's intersection is at least that part of either set, so no other set has a link to another component.
+    """
+
+    def spread(columns: list[list]) -> list[list]:
+        found = [shingles(text) for text in columns[2]]
+        sizes = np.array([len(x) for x in found])
+        values = np.concatenate(found).view(np.int64)
+        return [pa.array(x) for x in (*(np.repeat(c, sizes) for c in columns[:2]), np.repeat(sizes, sizes), values)]
+
+    spelt = rows.join(texts, "id").select("id", "component", "text")
+    held = map_batches(spelt, spread, "id long, component long, n long, shingle long")
+    shared = held.groupBy("shingle").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    common = held.join(shared.select("shingle"), "shingle").groupBy("id", "n").agg(F.count("*").alias("common"))
+    return cut(common.where(F.col("common") * 100 >= F.col("n") * percent).select("id"))
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """(key, own, side, id, component): every set of a region (side 0) meets all sets outside its main component (side 1)."""
+    part, other = F.pmod(F.xxhash64("id"), F.col("parts")), F.pmod(F.xxhash64("id"), F.col("others"))
+    down = F.expr("sequence(0L, others - 1)")
+    across = F.expr("sequence(0L, parts - 1)")
+    left = rows.select("key", (part * F.col("others")).alias("at"), F.explode(down).alias("j"), "id", "component")
+    left = left.select("key", (F.col("at") + F.col("j")).alias("own"), F.lit(0).alias("side"), "id", "component")
+    outside = rows.where("component <> main")
+    right = outside.select("key", other.alias("at"), "others", F.explode(across).alias("i"), "id", "component")
+    right = right.select("key", (F.col("i") * F.col("others") + F.col("at")).alias("own"), F.lit(1).alias("side"), "id", "component")
+    return left.union(right)
 
 
 #: A part of a region with more candidate pairs than so many a set is compared as a whole.
 DENSE = 2
 
-MET = "a long, b long, likeness int, key long, own long, component long"
+#: Regions with more than so many blocks of sets outside their largest component lose those without enough common shingles first.
+MANY = 16
+
+MET = "a long, b long, likeness int, key long, own long, side int, component long"
 
 
 def _met(regions: DataFrame, sets: DataFrame, parts: int, least: int) -> DataFrame:
     """Pairs (a, b, likeness) of a region's part, in different components, whose signatures agree in ``least`` values.
 
-    A part with more than ``DENSE`` such pairs a set gives its sets instead (a,
-    key, own, component; b null): pairs never outgrow the rows.
+    Within a part all sets of side 2 meet, and all of side 0 those of side 1.  A
+    part with more than ``DENSE`` such pairs a set gives its sets instead (a,
+    key, own, side, component; b null): pairs never outgrow the rows.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,29 +303,32 @@ def _met(regions: DataFrame, sets: DataFrame, parts: int, least: int) -> DataFra
     def pairs(table: pa.Table, begin: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not table.num_rows:
             return
-        ids, component = table["id"].to_numpy(), table["component"].to_numpy()
+        ids, component, side = table["id"].to_numpy(), table["component"].to_numpy(), table["side"].to_numpy()
         values = _values(table["signature"].combine_chunks())
         for start, end in zip(begin, np.append(begin[1:], table.num_rows), strict=True):
             some, apart, found = values[start:end], component[start:end], []
-            for i in range(len(some) - 1):
-                agree = (some[i + 1 :] == some[i]).sum(axis=1)
-                at = np.flatnonzero((agree >= least) & (apart[i + 1 :] != apart[i]))
+            rest = np.flatnonzero(side[start:end] != 1)  # sides are in order
+            begin_right = len(rest) if len(rest) < len(some) or side[start] == 0 else 0
+            for i in rest.tolist():
+                first = max(i + 1, begin_right)
+                agree = (some[first:] == some[i]).sum(axis=1)
+                at = np.flatnonzero((agree >= least) & (apart[first:] != apart[i]))
                 if len(at):
-                    a, b = np.full(len(at), ids[start + i]), ids[start + i + 1 + at]
+                    a, b = np.full(len(at), ids[start + i]), ids[start + first + at]
                     found.append((np.minimum(a, b), np.maximum(a, b), agree[at]))
             if sum(len(x[0]) for x in found) > DENSE * len(some):
                 part = table.slice(int(start), int(end - start))
-                yield _met_rows(part["id"], None, None, part["key"], part["own"], part["component"])
+                yield _met_rows(part["id"], None, None, *(part[c] for c in ("key", "own", "side", "component")))
             elif found:
-                yield _met_rows(*(pa.array(np.concatenate(x)) for x in zip(*found, strict=True)), None, None, None)
+                yield _met_rows(*(pa.array(np.concatenate(x)) for x in zip(*found, strict=True)), None, None, None, None)
 
-    dealt = regions.join(sets.select("id", "signature"), "id").select("key", "own", "id", "component", "signature")
-    dealt = dealt.repartition(parts, "key", "own").sortWithinPartitions("key", "own")
+    dealt = regions.join(sets.select("id", "signature"), "id").select("key", "own", "side", "id", "component", "signature")
+    dealt = dealt.repartition(parts, "key", "own").sortWithinPartitions("key", "own", "side")
     return dealt.mapInArrow(compare, MET)
 
 
 def _met_rows(a: pa.Array | pa.ChunkedArray, *rest: pa.Array | pa.ChunkedArray | None) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
     columns = [pa.nulls(len(a), t) if c is None else c.cast(t) for c, t in zip((a, *rest), types, strict=True)]
     columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
     return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in MET.split(", ")])
@@ -288,9 +351,13 @@ def near_documents(
     ``block`` sets; a larger one goes as deep as needed, to ``deepest`` values at
     most, where a link at the threshold is in one of ten trees with probability
     0.995; what is larger even there is compared part by part, and with the set
-    of its largest component.  Candidates found so are confirmed pair by pair, or
-    part by part where they are many: work grows with the sets, not with their
-    pairs.
+    of its largest component.  If it still holds several components then, all its
+    sets meet all that are outside its largest component, so no pair of a region
+    is left out; where these are more than ``MANY`` blocks, sets that have too few
+    shingles in common with other components go first.  Candidates found so are
+    confirmed pair by pair, or part by part where they are many: work grows with
+    the sets, and with their pairs only in regions of many sets that share most
+    shingles and are not linked.
 
     A document without words has an empty set, is linked with nothing and kept.
     A null doc_id is linked with nothing: component_id null, kept.  Rows that
@@ -330,19 +397,36 @@ def near_documents(
 
     texts, tasks = texts_of(ends(candidates))
     linked = cut(linked_components(candidates, texts, shingles, percent, tasks))
-    met = cut(_met(_regions(sets, linked, trees, block, deepest), sets, parts, least))
-    edges = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    dense = met.where("b is null").select("key", F.col("own").alias("block"), F.lit(2).alias("side"), F.col("a").alias("id"), "component")
-    if not dense.isEmpty():
-        texts, _ = texts_of(dense.select("id"))
-        found = compared(dense.join(texts, "id"), shingles, percent)
-        edges = edges.union(found.where("b is not null").select("a", "b"))
-        linked = cut(components(edges))
-    more = cut(met.where("b is not null").groupBy("a", "b").agg(F.max("likeness").alias("likeness")))
-    if not more.isEmpty():
-        more = more.coalesce(tasks_for(more.count()))
-        texts, tasks = texts_of(ends(more))
-        linked = cut(linked_components(more, texts, shingles, percent, tasks, start=edges))
+
+    def joined_up(met: DataFrame, linked: DataFrame) -> DataFrame:
+        """The components when what ``_met`` found is confirmed too."""
+        edges = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        dense = met.where("b is null").select("key", F.col("own").alias("block"), "side", F.col("a").alias("id"), "component")
+        if not dense.isEmpty():
+            texts, _ = texts_of(dense.select("id"))
+            found = compared(dense.join(texts, "id"), shingles, percent)
+            edges = edges.union(found.where("b is not null").select("a", "b"))
+            linked = cut(components(edges))
+        more = cut(met.where("b is not null").groupBy("a", "b").agg(F.max("likeness").alias("likeness")))
+        if not more.isEmpty():
+            more = more.coalesce(tasks_for(more.count()))
+            texts, tasks = texts_of(ends(more))
+            linked = cut(linked_components(more, texts, shingles, percent, tasks, start=edges))
+        return linked
+
+    dealt, large = _regions(sets, linked, trees, block, deepest)
+    linked = joined_up(cut(_met(dealt, sets, parts, least)), linked)
+    large = cut(large)
+    if not large.isEmpty():
+        rows = _sized(large, linked, block)
+        many = F.col("others") > MANY
+        if not rows.where(many).isEmpty():
+            wanted = rows.where(many).select("id", "component").distinct()
+            alive = _may_link(wanted, texts_of(wanted.select("id"))[0], shingles, percent)
+            rows = rows.where(~many).select("key", "id").union(rows.where(many).join(alive, "id", "left_semi").select("key", "id"))
+            rows = _sized(rows, linked, block)
+        if not rows.isEmpty():
+            linked = joined_up(cut(_met(_cells(rows), sets, parts, least)), linked)
     return _with_components(signed, sets.select("id", F.col("first.doc_id").alias("rep")), linked)
 
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import duckdb
@@ -193,3 +194,27 @@ def test_copies_of_one_document_over_many_partitions_are_one_component(docs_of,
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert sum(row.component_id == 0 for row in rows) > 395
+
+
+def pairs_of_one_family(seed, n):
+    """Pairs of texts near the threshold, unlike the other pairs by little more."""
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    places = [10 * i + 5 for i in range(12)]
+    texts = []
+    for three in r.sample(list(itertools.combinations(places, 3)), n):
+        one = list(base)
+        for at in three:
+            one[at] = f"e{r.randrange(10**9)}"
+        two = list(one)
+        for at in r.sample([i for i in places if one[i] == base[i]], 3):
+            two[at] = f"e{r.randrange(10**9)}"
+        texts += [" ".join(one), " ".join(two)]
+    r.shuffle(texts)
+    return dict(enumerate(texts))
+
+
+def test_regions_larger_than_a_block_lose_no_pair(docs_of):
+    rows = pairs_of_one_family(7, 100)
+    assert len({c for _, c in brute_components(rows).values()}) == 100
+    check(near_documents(docs_of(list(rows.items())), region=1, reach=1, block=8, deepest=1).collect(), rows)
