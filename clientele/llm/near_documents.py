@@ -402,15 +402,16 @@ def near_documents(
         """The components when what ``_met`` found is confirmed too."""
         edges = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
         dense = met.where("b is null").select("key", F.col("own").alias("block"), "side", F.col("a").alias("id"), "component")
+        more = cut(met.where("b is not null").groupBy("a", "b").agg(F.max("likeness").alias("likeness")))
+        if met.isEmpty():
+            return linked
+        texts, tasks = texts_of(dense.select("id").union(ends(more)))  # both in one pass over the documents
         if not dense.isEmpty():
-            texts, _ = texts_of(dense.select("id"))
             found = compared(dense.join(texts, "id"), shingles, percent)
             edges = edges.union(found.where("b is not null").select("a", "b"))
             linked = cut(components(edges))
-        more = cut(met.where("b is not null").groupBy("a", "b").agg(F.max("likeness").alias("likeness")))
         if not more.isEmpty():
             more = more.coalesce(tasks_for(more.count()))
-            texts, tasks = texts_of(ends(more))
             linked = cut(linked_components(more, texts, shingles, percent, tasks, start=edges))
         return linked
 
