@@ -171,7 +171,7 @@ def _regions(sets: DataFrame, linked: DataFrame, trees: int, block: int, deepest
     divided by the tree's next value, up to ``deepest`` values.  What is larger
     then is dealt into several parts (``own``), and the set with most members in
     its component goes to every part.  The second frame has the sets (key, id) of
-    these larger regions, whose parts haven't met each other.
+    all regions that were divided: their divisions and parts haven't met each other.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +193,7 @@ def _regions(sets: DataFrame, linked: DataFrame, trees: int, block: int, deepest
         "id", F.coalesce("component", "id").alias("component"), F.coalesce("weight", F.lit(1).cast("long")).alias("weight"), "signature"
     )
     rows = rows.mapInArrow(keys, ", ".join(f"{n} long" for n in names))
-    out = None
+    out = large = None
     for d in range(deepest):
         key = f"key{d}"
         size = rows.groupBy(key).agg(
@@ -206,6 +206,8 @@ def _regions(sets: DataFrame, linked: DataFrame, trees: int, block: int, deepest
         done = rows if d == deepest - 1 else rows.where(fits)
         done = done.select(F.col(key).alias("key"), "n", "id", "component", "hub")
         out = done if out is None else out.union(done)
+        if large is None:
+            large = rows.where(~fits).select(F.col(key).alias("key"), "id")
         rows = rows.where(~fits).drop("n", "hub", key)
         if rows.isEmpty():
             break
@@ -213,7 +215,33 @@ def _regions(sets: DataFrame, linked: DataFrame, trees: int, block: int, deepest
     spread = F.pmod(F.xxhash64("id"), parts)
     every = F.when(F.col("id") == F.col("hub"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(spread))
     dealt = out.select("key", F.explode(every).alias("own"), F.lit(2).alias("side"), "id", "component")
-    return dealt, out.where(F.col("n") > block).select("key", "id")
+    return dealt, large
+
+
+def _in_components(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    of = linked.select(F.col("node").alias("id"), F.col("component").alias("found"))
+    return rows.join(of, "id", "left").withColumn("component", F.coalesce("found", "id")).drop("found")
+
+
+def _may_agree(large: DataFrame, sets: DataFrame, linked: DataFrame, least: int) -> DataFrame:
+    """The rows (key, id) of ``large`` whose sets have ``least`` signature values in common with other components.
+
+    A candidate agrees in so many values with one set of another component, so no other set is in a candidate.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.arange(1, SIZE + 1, dtype=np.uint64) * np.uint64(31)
+        for batch in batches:
+            values = mix(place + (_values(batch.column("signature")).astype(np.uint64) << np.uint64(16)))
+            ids, of = (np.repeat(batch.column(c).to_numpy(), SIZE) for c in ("id", "component"))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, of, values.ravel().view(np.int64))], names=["id", "component", "value"])
+
+    ids = _in_components(large.select("id").distinct(), linked)
+    held = ids.join(sets.select("id", "signature"), "id").select("id", "component", "signature")
+    held = held.mapInArrow(spread, "id long, component long, value long")
+    shared = held.groupBy("value").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    common = held.join(shared.select("value"), "value").groupBy("id").agg(F.count("*").alias("common"))
+    return cut(large.join(common.where(F.col("common") >= least), "id", "left_semi").select("key", "id"))
 
 
 def _sized(large: DataFrame, linked: DataFrame, block: int) -> DataFrame:
@@ -223,8 +251,7 @@ def _sized(large: DataFrame, linked: DataFrame, block: int) -> DataFrame:
     that all its sets fill, ``others`` those that the sets outside ``main`` fill.
     Of regions with the same sets one is enough.
     """
-    of = linked.select(F.col("node").alias("id"), F.col("component").alias("found"))
-    rows = large.join(of, "id", "left").select("key", "id", F.coalesce("found", "id").alias("component"))
+    rows = _in_components(large, linked)
     each = rows.groupBy("key", "component").agg(
         F.count("*").alias("m"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"), F.min("id").alias("low")
     )
@@ -349,12 +376,14 @@ def near_documents(
     deviations under 0.8.  Then the regions of every tree that still hold two
     components are searched by signatures alone: all pairs of a region of up to
     ``block`` sets; a larger one goes as deep as needed, to ``deepest`` values at
-    most, where a link at the threshold is in one of ten trees with probability
-    0.995; what is larger even there is compared part by part, and with the set
-    of its largest component.  If it still holds several components then, all its
-    sets meet all that are outside its largest component, so no pair of a region
-    is left out; where these are more than ``MANY`` blocks, sets that have too few
-    shingles in common with other components go first.  Candidates found so are
+    most; what is larger even there is compared part by part, and with the set
+    of its largest component.  That finds most links of large regions cheaply.  For
+    the rest, sets of divided regions that agree in too few values with all other
+    components together go, and all others meet all that are outside their
+    region's largest component: no pair that shares a tree's first value is left
+    out, however large the region.  Where the sets outside are more than ``MANY``
+    blocks, those that have too few shingles in common with other components go
+    before.  Candidates found so are
     confirmed pair by pair, or part by part where they are many: work grows with
     the sets, and with their pairs only in regions of many sets that share most
     shingles and are not linked.
@@ -417,9 +446,8 @@ def near_documents(
 
     dealt, large = _regions(sets, linked, trees, block, deepest)
     linked = joined_up(cut(_met(dealt, sets, parts, least)), linked)
-    large = cut(large)
     if not large.isEmpty():
-        rows = _sized(large, linked, block)
+        rows = _sized(_may_agree(large, sets, linked, least), linked, block)
         many = F.col("others") > MANY
         if not rows.where(many).isEmpty():
             wanted = rows.where(many).select("id", "component").distinct()

@@ -218,3 +218,9 @@ def test_regions_larger_than_a_block_lose_no_pair(docs_of):
     rows = pairs_of_one_family(7, 100)
     assert len({c for _, c in brute_components(rows).values()}) == 100
     check(near_documents(docs_of(list(rows.items())), region=1, reach=1, block=8, deepest=1).collect(), rows)
+
+
+def test_divided_regions_lose_no_pair(docs_of):
+    """Pairs that share a tree's first value meet, though the values that divide their region differ."""
+    rows = pairs_of_one_family(7, 100)
+    check(near_documents(docs_of(list(rows.items())), region=1, reach=1, block=8, deepest=8).collect(), rows)
