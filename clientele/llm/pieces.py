@@ -19,7 +19,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -293,14 +293,16 @@ class PieceModel:
                 self.rows.update(zip(some, range(len(self.rows), len(self.rows) + len(some)), strict=True))
         self.flat, self.length, self.score, self.behind = (np.concatenate(x) for x in zip(*parts, strict=True))
         self.start = np.cumsum(self.length) - self.length
-        # the library puts the first mark in front itself
         ordered = list(chain.from_iterable(by_length.values()))
-        own = self.library.encode([w[1:] for w in ordered])
+        lengths, flats = [self.own_length], [self.own_flat]
         lone = self.trie.get(MARK)  # a last blank: nothing is left to encode
-        own = [x if w != MARK else self._spell(w, [(0, lone[1] if lone else -1)]) for w, x in zip(ordered, own, strict=True)]
-        self.own_length = np.concatenate([self.own_length, np.fromiter(map(len, own), np.int64, len(own))])
-        total = int(self.own_length.sum()) - len(self.own_flat)
-        self.own_flat = np.concatenate([self.own_flat, np.fromiter(chain.from_iterable(own), np.int32, total)])
+        for k in range(0, len(ordered), 32768):
+            some = ordered[k : k + 32768]
+            own = self.library.encode([w[1:] for w in some])  # the library puts the first mark in front itself
+            own = [x if w != MARK else self._spell(w, [(0, lone[1] if lone else -1)]) for w, x in zip(some, own, strict=True)]
+            lengths.append(np.fromiter(map(len, own), np.int64, len(own)))
+            flats.append(np.fromiter(chain.from_iterable(own), np.int32, int(lengths[-1].sum())))
+        self.own_length, self.own_flat = np.concatenate(lengths), np.concatenate(flats)
         self.own_start = np.cumsum(self.own_length) - self.own_length
 
     def n_best(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -345,15 +347,25 @@ class PieceModel:
     ) -> tuple[np.ndarray, np.ndarray, list[list[dict]], np.ndarray, np.ndarray]:
         """Ids of all texts end to end, where each text's begin (and the end), and each text's ``n`` best;
         the library's ids of all texts, and where each text's begin (and the end).
-
-        Beyond ``cache_words`` only the words of these texts stay solved.
         """
-        words = [self.words(t) for t in texts]
-        all_words = set(chain.from_iterable(words))
+        self.meet(texts)
+        return self.encode_met(texts, n)
+
+    def meet(self, texts: list[str]) -> None:
+        """Solve the words of these texts that aren't solved yet; beyond ``cache_words`` only theirs stay."""
+        all_words: set[str] = set()
+        for text in texts:
+            all_words.update(self.words(text))
         new = all_words.difference(self.rows)
         if len(self.rows) + len(new) > self.cache_words:
             self._keep(list(all_words - new))
         self.learn(new)
+
+    def encode_met(
+        self, texts: list[str], n: int = 1
+    ) -> tuple[np.ndarray, np.ndarray, list[list[dict]], np.ndarray, np.ndarray]:
+        """``encode_batch`` of texts, or of some of those, that ``meet`` got last."""
+        words = [self.words(t) for t in texts]
         ends = np.cumsum([0, *map(len, words)])
         rows = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(words)), np.int64, int(ends[-1]))
         ids, id_ends = _gather(self.flat, self.start[rows], self.length[rows])
@@ -425,6 +437,24 @@ def _model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+#: Texts are put together from their words so many characters at a time, to keep a worker small.
+STRETCH = 1 << 19
+
+
+def _stretches(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in lists of up to ``STRETCH`` characters (one text at least)."""
+    some: list[str] = []
+    size = 0
+    for text in texts:
+        if some and size + len(text) > STRETCH:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
+
+
 SCHEMA = (
     "doc_id long, n_bytes long, n_pieces long, ids array<int>, ids_crc32 long, "
     "best array<struct<score:double,n_pieces:long,swaps:array<struct<word:long,ids:array<int>>>>>, round_trip boolean, "
@@ -452,20 +482,19 @@ def encode_pieces(docs: DataFrame, model: str, n: int = 4, with_ids: bool = True
     def run(columns: list[list]) -> list[list]:
         loaded = _model(model)
         texts = [t or "" for t in columns[1]]
-        ids, starts, best, own_ids, own_starts = loaded.encode_batch(texts, n)
-        raw = [t.encode() for t in texts]
-        return [
-            columns[0],
-            [len(x) for x in raw],
-            np.diff(starts).tolist(),
-            listed(ids, starts),
-            checksums(ids, starts),
-            best,
-            [a == b for a, b in zip(loaded.decode_batch(ids, starts), raw, strict=True)],
-            np.diff(own_starts).tolist(),
-            listed(own_ids, own_starts),
-            checksums(own_ids, own_starts),
-        ]
+        loaded.meet(texts)
+        parts: list[list[list]] = [[columns[0]], *([] for _ in range(9))]
+        for some in _stretches(texts):
+            ids, starts, best, own_ids, own_starts = loaded.encode_met(some, n)
+            raw = [t.encode() for t in some]
+            same = [a == b for a, b in zip(loaded.decode_batch(ids, starts), raw, strict=True)]
+            row = (
+                [len(x) for x in raw], np.diff(starts).tolist(), listed(ids, starts), checksums(ids, starts), best, same,
+                np.diff(own_starts).tolist(), listed(own_ids, own_starts), checksums(own_ids, own_starts),
+            )
+            for part, value in zip(parts[1:], row, strict=True):
+                part.append(value)
+        return [pa.concat_arrays(x) if isinstance(x[0], pa.Array) else list(chain.from_iterable(x)) for x in parts]
 
     def listed(ids: np.ndarray, starts: np.ndarray) -> pa.Array | list[None]:
         if not with_ids:

@@ -1,8 +1,10 @@
 import random
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -104,3 +106,25 @@ def test_query_decodes_every_text(spark):
         assert (r.n_library, r.library_crc32) == (len(own), zlib.crc32(np.array(own, "<i4").tobytes()))
         assert r.round_trip and r.n_bytes == len(texts[r.doc_id].encode())
         assert r.best_scores == sorted(r.best_scores, reverse=True) and r.best_pieces[0] == r.n_pieces
+
+
+def test_a_large_batch_needs_little_memory(spark, monkeypatch):
+    """A worker keeps its model, and so what its largest batch took: whole batches of words and places cost 16 bytes a byte and more."""
+    from clientele.llm import pieces as module
+
+    monkeypatch.setattr(module, "map_batches", lambda df, run, schema: run)
+    run = module.encode_pieces(spark.createDataFrame([], "doc_id long, text string"), PATH)
+    r = random.Random(3)
+    words = ["".join(r.choice("thenatiorsé") for _ in range(r.randrange(2, 9))) for _ in range(500)]
+    texts = ["", *(" ".join(r.choice(words) for _ in range(10_000)) for _ in range(30)), None, "é 日本"]
+    small = [run([[i], [t]]) for i, t in enumerate(texts)]
+    tracemalloc.start()
+    try:
+        large = run([list(range(len(texts))), texts])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    plain = [[x.to_pylist() if isinstance(x, pa.Array) else x for x in rows] for rows in (large, *small)]
+    assert plain[0] == [[x for rows in plain[1:] for x in rows[k]] for k in range(10)]
+    size = sum(len((t or "").encode()) for t in texts)
+    assert peak < 16 * size, peak / size
