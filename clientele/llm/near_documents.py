@@ -19,6 +19,7 @@ from clientele.llm.common import components, cut, map_batches, small_batches, ta
 from clientele.llm.links import MinHash, compared, linked_components, mix, word_shingles
 
 SIZE = 64  # values in a signature
+LEAD = 3  # neighbouring values that make the sets of a region
 
 
 def _signatures(docs: DataFrame, width: int, size: int) -> DataFrame:
@@ -164,58 +165,61 @@ def _pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], names=["a", "b", "likeness"])
 
 
-def _regions(sets: DataFrame, linked: DataFrame, trees: int, block: int, deepest: int) -> tuple[DataFrame, DataFrame]:
-    """(key, own, side, id, component): sets dealt into the regions of the forest that hold two components or more.
+def _regions(sets: DataFrame, linked: DataFrame, block: int, deepest: int) -> tuple[DataFrame, DataFrame]:
+    """(key, own, side, id, component): sets dealt into the regions that hold two components or more.
 
-    A region shares a tree's first value; one of more than ``block`` sets is
-    divided by the tree's next value, up to ``deepest`` values.  What is larger
-    then is dealt into several parts (``own``), and the set with most members in
-    its component goes to every part.  The second frame has the sets (key, id) of
-    all regions that were divided: their divisions and parts haven't met each other.
+    A region shares ``LEAD`` neighbouring values of the signature, of any of its
+    ``SIZE // LEAD`` stretches; one of more than ``block`` sets is divided by the
+    next value, up to ``deepest`` - 1 times.  What is larger then is dealt into
+    several parts (``own``), and the set with most members in its component goes
+    to every part.  The second frame has the sets (key, id) of all regions that
+    were divided: their divisions and parts haven't met each other.
     """
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def leading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = _values(batch.column("signature")).astype(np.uint64)
-            for t in range(trees):
-                key, columns = np.full(len(values), t + 1, np.uint64), []
-                for d in range(deepest):
-                    key = mix(key * np.uint64(31) + values[:, (t * SIZE // trees + d) % SIZE])
-                    columns.append(pa.array(key.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("component"), batch.column("weight"), *columns], names=names
-                )
-
-    names = ["id", "component", "weight", *(f"key{d}" for d in range(deepest))]
-    weight = linked.groupBy("component").agg(F.count("*").alias("weight"))
-    known = linked.join(weight, "component").select(F.col("node").alias("id"), "component", "weight")
-    rows = sets.join(known, "id", "left").select(
-        "id", F.coalesce("component", "id").alias("component"), F.coalesce("weight", F.lit(1).cast("long")).alias("weight"), "signature"
-    )
-    rows = rows.mapInArrow(keys, ", ".join(f"{n} long" for n in names))
-    out = large = None
+            for t in range(SIZE // LEAD):
+                key = np.full(len(values), t + 1, np.uint64)
+                for d in range(LEAD):
+                    key = mix(key * np.uint64(31) + values[:, t * LEAD + d])
+                columns = [batch.column("id"), batch.column("component"), pa.array([t] * len(key), pa.int32()), pa.array(key.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def divided(depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                values = _values(batch.column("signature")).astype(np.uint64)
+                at = ((batch.column("stretch").to_numpy() + 1) * LEAD + depth - 1) % SIZE
+                key = batch.column("key").to_numpy().view(np.uint64) * np.uint64(31) + values[np.arange(len(values)), at]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(mix(key).view(np.int64))], names=names)
+
+        return run
+
+    names, schema = ["id", "component", "stretch", "key"], "id long, component long, stretch int, key long"
+    rows = _in_components(sets.select("id", "signature"), linked).select("id", "component", "signature").mapInArrow(leading, schema)
+    fits, out, large = F.col("n") <= block, None, None
     for d in range(deepest):
-        key = f"key{d}"
-        size = rows.groupBy(key).agg(
-            F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1"),
-            F.max(F.struct("weight", F.col("id").alias("hub"))).alias("top"),
-        )
-        size = size.where("n > 1 and c0 <> c1").select(key, "n", F.col("top.hub").alias("hub"))
-        rows = cut(rows.join(size, key))
-        fits = F.col("n") <= block
-        done = rows if d == deepest - 1 else rows.where(fits)
-        done = done.select(F.col(key).alias("key"), "n", "id", "component", "hub")
+        if d:
+            rows = rows.join(sets.select("id", "signature"), "id").select(*names, "signature").mapInArrow(divided(d), schema)
+        size = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+        rows = cut(rows.join(size.where("n > 1 and c0 <> c1").select("key", "n"), "key"))
+        done = rows.where(fits).select("key", F.lit(0).cast("long").alias("own"), "id", "component")
         out = done if out is None else out.union(done)
         if large is None:
-            large = rows.where(~fits).select(F.col(key).alias("key"), "id")
-        rows = rows.where(~fits).drop("n", "hub", key)
+            large = rows.where(~fits).select("key", "id")
+        rows = rows.where(~fits)
         if rows.isEmpty():
             break
-    parts = F.ceil(F.col("n") / block).cast("long")
-    spread = F.pmod(F.xxhash64("id"), parts)
-    every = F.when(F.col("id") == F.col("hub"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(spread))
-    dealt = out.select("key", F.explode(every).alias("own"), F.lit(2).alias("side"), "id", "component")
-    return dealt, large
+        rows = rows if d == deepest - 1 else rows.drop("n")
+    else:
+        weight = linked.groupBy("component").agg(F.count("*").alias("weight"))
+        weighed = rows.join(weight, "component", "left").select("key", "id", F.coalesce("weight", F.lit(1).cast("long")).alias("weight"))
+        hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", "id")).alias("top")).select("key", F.col("top.id").alias("hub"))
+        parts = F.ceil(F.col("n") / block).cast("long")
+        every = F.when(F.col("id") == F.col("hub"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), parts)))
+        out = out.union(rows.join(hubs, "key").select("key", F.explode(every).alias("own"), "id", "component"))
+    return out.withColumn("side", F.lit(2)), large
 
 
 def _in_components(rows: DataFrame, linked: DataFrame) -> DataFrame:
@@ -300,6 +304,9 @@ def _cells(rows: DataFrame) -> DataFrame:
 #: A part of a region with more candidate pairs than so many a set is compared as a whole.
 DENSE = 2
 
+#: Regions with more than so many blocks of sets outside their largest component lose those with too few common values first.
+WIDE = 4
+
 #: Regions with more than so many blocks of sets outside their largest component lose those without enough common shingles first.
 MANY = 16
 
@@ -359,7 +366,8 @@ def _met(regions: DataFrame, sets: DataFrame, parts: int, least: int) -> DataFra
     short = sets.select("id", "signature").mapInArrow(last_bytes, "id long, signature binary")
     dealt = regions.join(short, "id").select("key", "own", "side", "id", "component", "signature")
     dealt = dealt.repartition(parts, "key", "own").sortWithinPartitions("key", "own", "side")
-    return dealt.mapInArrow(compare, MET)
+    met = cut(dealt.mapInArrow(compare, MET))
+    return met.coalesce(tasks_for(met.count()))
 
 
 def _met_rows(a: pa.Array | pa.ChunkedArray, *rest: pa.Array | pa.ChunkedArray | None) -> pa.RecordBatch:
@@ -381,17 +389,18 @@ def near_documents(
     one in the search.  Candidates come from ``trees`` sorted orders; every
     candidate between components is confirmed on the full sets, so no link is
     false.  A candidate needs 0.55 of the signature to agree, five standard
-    deviations under 0.8.  Then the regions of every tree that still hold two
-    components are searched by signatures alone: all pairs of a region of up to
-    ``block`` sets; a larger one goes as deep as needed, to ``deepest`` values at
-    most; what is larger even there is compared part by part, and with the set
-    of its largest component.  That finds most links of large regions cheaply.  For
-    the rest, sets of divided regions that agree in too few values with all other
-    components together go, and all others meet all that are outside their
-    region's largest component: no pair that shares a tree's first value is left
-    out, however large the region.  Where the sets outside are more than ``MANY``
-    blocks, those that have too few shingles in common with other components go
-    before.  Candidates found so are
+    deviations under 0.8.  Then regions, the sets that share one of 21 stretches of
+    ``LEAD`` values, are searched by signatures alone where they still hold two
+    components; a pair at 0.8 shares no stretch once in three million.  All pairs
+    of a region of up to ``block`` sets meet; a larger one is divided by the next
+    value, up to ``deepest`` - 1 times; what is larger even there is compared part
+    by part, and with the set of its largest component.  That finds most links of
+    large regions cheaply.  For the rest, all sets of divided regions that still
+    hold two components meet all that are outside the region's largest: no pair
+    that shares a stretch is left out, however large the region.  Where the sets
+    outside are more than ``WIDE`` blocks, those that agree in too few values with
+    all other components together go before, and where they still are more than
+    ``MANY``, those that have too few shingles in common with them.  Candidates found so are
     confirmed pair by pair, or part by part where they are many: work grows with
     the sets, and with their pairs only in regions of many sets that share most
     shingles and are not linked.
@@ -412,6 +421,7 @@ def near_documents(
     nodes = signed.where("id is not null and doc_id is not null")
     place = F.struct("doc_id", "text_hash")
     sets = cut(nodes.groupBy("id").agg(F.min(place).alias("first"), F.first("signature").alias("signature")))
+    sets = sets.coalesce(tasks_for(sets.count(), 5_000))
     planted = _plant(sets, trees)
     candidates = _neighbours(planted, parts, region, reach, least).groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
     candidates = cut(candidates)
@@ -435,27 +445,32 @@ def near_documents(
     texts, tasks = texts_of(ends(candidates))
     linked = cut(linked_components(candidates, texts, shingles, percent, tasks))
 
+    def links_of(linked: DataFrame) -> DataFrame:
+        return linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
     def joined_up(met: DataFrame, linked: DataFrame) -> DataFrame:
         """The components when what ``_met`` found is confirmed too."""
-        edges = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
         dense = met.where("b is null").select("key", F.col("own").alias("block"), "side", F.col("a").alias("id"), "component")
-        more = cut(met.where("b is not null").groupBy("a", "b").agg(F.max("likeness").alias("likeness")))
         if met.isEmpty():
             return linked
+        more = cut(met.where("b is not null").groupBy("a", "b").agg(F.max("likeness").alias("likeness")))
         texts, tasks = texts_of(dense.select("id").union(ends(more)))  # both in one pass over the documents
         if not dense.isEmpty():
             found = compared(dense.join(texts, "id"), shingles, percent)
-            edges = edges.union(found.where("b is not null").select("a", "b"))
-            linked = cut(components(edges))
+            linked = cut(components(links_of(linked).union(found.where("b is not null").select("a", "b"))))
         if not more.isEmpty():
             more = more.coalesce(tasks_for(more.count()))
-            linked = cut(linked_components(more, texts, shingles, percent, tasks, start=edges))
+            linked = cut(linked_components(more, texts, shingles, percent, tasks, start=links_of(linked)))
         return linked
 
-    dealt, large = _regions(sets, linked, trees, block, deepest)
-    linked = joined_up(cut(_met(dealt, sets, parts, least)), linked)
-    if not large.isEmpty():
-        rows = _sized(_may_agree(large, sets, linked, least), linked, block)
+    dealt, large = _regions(sets, linked, block, deepest)
+    linked = joined_up(_met(dealt, sets, parts, least), linked)
+    rows = None if large.isEmpty() else _sized(large, linked, block)
+    if rows is not None and not rows.isEmpty():
+        wide = F.col("others") > WIDE
+        if not rows.where(wide).isEmpty():
+            alive = _may_agree(rows.where(wide).select("key", "id"), sets, linked, least)
+            rows = _sized(rows.where(~wide).select("key", "id").union(alive), linked, block)
         many = F.col("others") > MANY
         if not rows.where(many).isEmpty():
             wanted = rows.where(many).select("id", "component").distinct()
@@ -463,7 +478,7 @@ def near_documents(
             rows = rows.where(~many).select("key", "id").union(rows.where(many).join(alive, "id", "left_semi").select("key", "id"))
             rows = _sized(rows, linked, block)
         if not rows.isEmpty():
-            linked = joined_up(cut(_met(_cells(rows), sets, parts, least)), linked)
+            linked = joined_up(_met(_cells(rows), sets, parts, least), linked)
     return _with_components(signed, sets.select("id", F.col("first.doc_id").alias("rep")), linked)
 
 

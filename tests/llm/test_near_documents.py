@@ -224,3 +224,43 @@ def test_divided_regions_lose_no_pair(docs_of):
     """Pairs that share a tree's first value meet, though the values that divide their region differ."""
     rows = pairs_of_one_family(7, 100)
     check(near_documents(docs_of(list(rows.items())), region=1, reach=1, block=8, deepest=8).collect(), rows)
+
+
+def test_regions_with_few_sets_outside_lose_no_pair(docs_of):
+    """Regions of several blocks, whose sets meet without a look at their single values first."""
+    rows = pairs_of_one_family(8, 60)
+    check(near_documents(docs_of(list(rows.items())), region=1, reach=1, block=32, deepest=1).collect(), rows)
+
+
+def test_a_shared_passage_makes_no_region_of_many_sets(docs_of, monkeypatch):
+    """Documents that share half their shingles and aren't alike: no value of theirs is dealt out by itself."""
+    from clientele.llm import near_documents as module
+
+    seen = []
+    found = module._may_agree
+    monkeypatch.setattr(module, "_may_agree", lambda large, *x: (seen.append(large.count()), found(large, *x))[1])
+    r = random.Random(13)
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = [(i, f"{passage} " + " ".join(f"u{r.randrange(10**6)}" for _ in range(60))) for i in range(900)]
+    rows = near_documents(docs_of(docs)).collect()
+    assert len(rows) == 900 and all(x.kept for x in rows)
+    assert sum(seen) == 0
+
+
+def test_few_links_are_in_few_partitions(spark):
+    """Every later round reads these: many partitions of few rows cost a file and a task each."""
+    from clientele.llm.links import compared, word_shingles
+
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = spark.createDataFrame(
+        [(k, 0, 2, 10 * k + i, 10 * k + i, f"{text} {k}{i}") for k in range(20) for i in range(3)],
+        "key long, block long, side int, id long, component long, text string",
+    )
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        found = compared(rows, lambda text: word_shingles(text, 4), 80)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert found.where("b is not null").count() == 40
+    assert found.rdd.getNumPartitions() == 1
