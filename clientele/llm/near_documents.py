@@ -165,15 +165,11 @@ def _pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], names=["a", "b", "likeness"])
 
 
-def _regions(sets: DataFrame, linked: DataFrame, block: int, deepest: int) -> tuple[DataFrame, DataFrame]:
-    """(key, own, side, id, component): sets dealt into the regions that hold two components or more.
+def _sharing(sets: DataFrame) -> DataFrame:
+    """(id, stretch, key): the regions of two sets or more.
 
     A region shares ``LEAD`` neighbouring values of the signature, of any of its
-    ``SIZE // LEAD`` stretches; one of more than ``block`` sets is divided by the
-    next value, up to ``deepest`` - 1 times.  What is larger then is dealt into
-    several parts (``own``), and the set with most members in its component goes
-    to every part.  The second frame has the sets (key, id) of all regions that
-    were divided: their divisions and parts haven't met each other.
+    ``SIZE // LEAD`` stretches.
     """
 
     def leading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,8 +179,26 @@ def _regions(sets: DataFrame, linked: DataFrame, block: int, deepest: int) -> tu
                 key = np.full(len(values), t + 1, np.uint64)
                 for d in range(LEAD):
                     key = mix(key * np.uint64(31) + values[:, t * LEAD + d])
-                columns = [batch.column("id"), batch.column("component"), pa.array([t] * len(key), pa.int32()), pa.array(key.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                columns = [batch.column("id"), pa.array([t] * len(key), pa.int32()), pa.array(key.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "stretch", "key"])
+
+    rows = sets.select("id", "signature").mapInArrow(leading, "id long, stretch int, key long")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    found = cut(rows.join(shared, "key").select("id", "stretch", "key"))
+    return found.coalesce(tasks_for(found.count()))
+
+
+def _regions(
+    sharing: DataFrame, sets: DataFrame, linked: DataFrame, block: int, deepest: int
+) -> tuple[DataFrame, DataFrame]:
+    """(key, own, side, id, component): sets dealt into the regions that hold two components or more.
+
+    ``sharing`` has the regions; one of more than ``block`` sets is divided by the
+    next value, up to ``deepest`` - 1 times.  What is larger then is dealt into
+    several parts (``own``), and the set with most members in its component goes
+    to every part.  The second frame has the sets (key, id) of all regions that
+    were divided: their divisions and parts haven't met each other.
+    """
 
     def divided(depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +211,7 @@ def _regions(sets: DataFrame, linked: DataFrame, block: int, deepest: int) -> tu
         return run
 
     names, schema = ["id", "component", "stretch", "key"], "id long, component long, stretch int, key long"
-    rows = _in_components(sets.select("id", "signature"), linked).select("id", "component", "signature").mapInArrow(leading, schema)
+    rows = _in_components(sharing, linked).select(*names)
     fits, out, large = F.col("n") <= block, None, None
     for d in range(deepest):
         if d:
@@ -377,6 +391,19 @@ def _met_rows(a: pa.Array | pa.ChunkedArray, *rest: pa.Array | pa.ChunkedArray |
     return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in MET.split(", ")])
 
 
+def _texts(docs: DataFrame, sets: DataFrame, paired: DataFrame, shares: DataFrame) -> DataFrame:
+    """(id, text, paired, shares): the texts of these sets, those in candidates and those in regions.
+
+    Whatever a search needs later is among them, so the documents are dealt once.
+    """
+    flags = [F.max(c).alias(c) for c in ("paired", "shares")]
+    yes, no = F.lit(True), F.lit(False)
+    wanted = paired.select("id", yes.alias("paired"), no.alias("shares")).union(shares.select("id", no, yes)).groupBy("id").agg(*flags)
+    named = sets.select("id", "first.doc_id", "first.text_hash").join(wanted, "id")
+    spelt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return cut(spelt.join(named, ["doc_id", "text_hash"]).select("id", "text", "paired", "shares").dropDuplicates(["id"]))
+
+
 def near_documents(
     docs: DataFrame, width: int = 4, percent: int = 80, trees: int = 10, region: int = 32, reach: int = 4,
     block: int = 256, deepest: int = 4,
@@ -426,23 +453,26 @@ def near_documents(
     candidates = _neighbours(planted, parts, region, reach, least).groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
     candidates = cut(candidates)
     candidates = candidates.coalesce(tasks_for(candidates.count()))
-    spelt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    named = sets.select("id", "first.doc_id", "first.text_hash")
-
-    def texts_of(ids: DataFrame) -> tuple[DataFrame, int]:
-        """(id, text) of these sets, and the tasks that can hold them."""
-        wanted = named.join(ids.distinct(), "id", "left_semi")
-        found = cut(spelt.join(wanted, ["doc_id", "text_hash"]).select("id", "text").dropDuplicates(["id"]))
-        tasks = tasks_for_bytes(found, "text")
-        return found.coalesce(tasks), tasks
+    sharing = _sharing(sets)
 
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
 
+    def sized(texts: DataFrame) -> tuple[DataFrame, int]:
+        """These texts, and the tasks that can hold them."""
+        tasks = tasks_for_bytes(texts, "text")
+        return texts.coalesce(tasks), tasks
+
+    fetched = _texts(docs, sets, ends(candidates), sharing.select("id"))
+
+    def texts_of(ids: DataFrame) -> tuple[DataFrame, int]:
+        """(id, text) of these sets, all of them in regions, and the tasks that can hold them."""
+        return sized(cut(fetched.where("shares").join(ids.distinct(), "id", "left_semi").select("id", "text")))
+
     def shingles(text: str) -> np.ndarray:
         return word_shingles(text, width)
 
-    texts, tasks = texts_of(ends(candidates))
+    texts, tasks = sized(fetched.where("paired").select("id", "text"))
     linked = cut(linked_components(candidates, texts, shingles, percent, tasks))
 
     def links_of(linked: DataFrame) -> DataFrame:
@@ -454,7 +484,7 @@ def near_documents(
         if met.isEmpty():
             return linked
         more = cut(met.where("b is not null").groupBy("a", "b").agg(F.max("likeness").alias("likeness")))
-        texts, tasks = texts_of(dense.select("id").union(ends(more)))  # both in one pass over the documents
+        texts, tasks = texts_of(dense.select("id").union(ends(more)))
         if not dense.isEmpty():
             found = compared(dense.join(texts, "id"), shingles, percent)
             linked = cut(components(links_of(linked).union(found.where("b is not null").select("a", "b"))))
@@ -463,7 +493,7 @@ def near_documents(
             linked = cut(linked_components(more, texts, shingles, percent, tasks, start=links_of(linked)))
         return linked
 
-    dealt, large = _regions(sets, linked, block, deepest)
+    dealt, large = _regions(sharing, sets, linked, block, deepest)
     linked = joined_up(_met(dealt, sets, parts, least), linked)
     rows = None if large.isEmpty() else _sized(large, linked, block)
     if rows is not None and not rows.isEmpty():

@@ -247,6 +247,22 @@ def test_a_shared_passage_makes_no_region_of_many_sets(docs_of, monkeypatch):
     assert sum(seen) == 0
 
 
+def test_documents_are_read_once_for_their_texts(docs_of, spark, tmp_path, monkeypatch):
+    """One pass for the signatures, one for the texts of all searches: a pass deals the whole table."""
+    from clientele.llm import near_documents as module
+
+    rows = pairs_of_one_family(7, 100)
+    docs_of(list(rows.items())).write.parquet(f"{tmp_path}/docs")
+    passes, confirmed = [], []
+    cut, compared = module.cut, module.compared
+    monkeypatch.setattr(module, "cut", lambda df: (passes.append(bool(df.inputFiles())), cut(df))[1])
+    monkeypatch.setattr(module, "compared", lambda *x: (confirmed.append(1), compared(*x))[1])
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    check(near_documents(docs, region=1, reach=1, block=8, deepest=1).collect(), rows)
+    assert confirmed  # later searches needed texts too
+    assert sum(passes) == 2
+
+
 def test_few_links_are_in_few_partitions(spark):
     """Every later round reads these: many partitions of few rows cost a file and a task each."""
     from clientele.llm.links import compared, word_shingles
