@@ -123,24 +123,20 @@ def _bucket_pairs(key: np.ndarray, ids: np.ndarray, reach: int) -> tuple[np.ndar
 #: Kinds of rows between the batches and their buckets.
 HEAD, LED, PAIR, MEMBER = range(4)
 
+#: Columns that are equal in most rows stand together, so that a shuffled row takes little more than the others.
+BANDED = "kind int, b long, key long, a long, near int"
 
-def _met(docs: DataFrame, bands: int, rows: int, min_chars: int, reach: int) -> DataFrame:
-    """Two kinds of rows: (null, a, b) near lines of a bucket, once each time they met, and (key, a, null) members.
 
-    Every line of a bucket (lines that share a band) with two lines or more is a
-    member.  Before the shuffle, each batch links its own lines of one key and
-    sends only one of them on to the bucket: a key with a third of all lines has
-    one row a batch there.  The others are members already, dealt out by
-    themselves.
-    """
+def _banded(docs: DataFrame, bands: int, rows: int, min_chars: int, reach: int) -> DataFrame:
+    """What each batch sends on: of its lines of one key the first (HEAD, LED), pairs among them, and the other members."""
     hasher = MinHash(bands * rows)
-    schema = "key long, near int, a long, b long, kind int"
-
-    def rows_of(kind: np.ndarray | int, key: np.ndarray, near: np.ndarray | int, a: np.ndarray, b: np.ndarray):
-        columns = (key, np.broadcast_to(np.int32(near), len(a)), a, b, np.broadcast_to(np.int32(kind), len(a)))
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=schema_names)
+    names = [x.split()[0] for x in BANDED.split(", ")]
 
-    schema_names = [x.split()[0] for x in schema.split(", ")]
+    def rows_of(kind: np.ndarray | int, key: np.ndarray, near: np.ndarray | int, a: np.ndarray, b: np.ndarray | None):
+        held = (kind, key, near, a)
+        kind, key, near, a = (pa.array(np.ascontiguousarray(np.broadcast_to(c, len(a)))) for c in held)
+        b = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)
+        return pa.RecordBatch.from_arrays([kind.cast(pa.int32()), b, key, a, near.cast(pa.int32())], names=names)
 
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,12 +154,25 @@ def _met(docs: DataFrame, bands: int, rows: int, min_chars: int, reach: int) ->
             head = np.ones(len(key), bool)
             head[1:] = key[1:] != key[:-1]
             led = np.append(~head[1:], False)[head]  # the batch has more lines of the key
-            yield rows_of(np.where(led, LED, HEAD), key[head], near[head], each[head], each[head])
+            yield rows_of(np.where(led, LED, HEAD), key[head], near[head], each[head], None)
             if len(low):
                 yield rows_of(PAIR, low, 0, low, high)
                 rest = ~head
                 yield rows_of(MEMBER, each[rest], 0, each[rest], key[rest])
 
+    return docs.select("text").mapInArrow(band, BANDED)
+
+
+def _met(docs: DataFrame, bands: int, rows: int, min_chars: int, reach: int) -> DataFrame:
+    """Two kinds of rows: (null, a, b) near lines of a bucket, once each time they met, and (key, a, null) members.
+
+    Every line of a bucket (lines that share a band) with two lines or more is a
+    member.  Before the shuffle, each batch links its own lines of one key and
+    sends only one of them on to the bucket: a key with a third of all lines has
+    one row a batch there.  The others are members already, dealt out by
+    themselves.
+    """
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None  # rows of the batch before whose key may go on
         held = None  # its key, line, and whether the bucket is known to have two lines
@@ -202,7 +211,7 @@ def _met(docs: DataFrame, bands: int, rows: int, min_chars: int, reach: int) ->
             tail = key[last], ids[last]
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    banded = docs.select("text").mapInArrow(band, schema).repartition(parts, "key")
+    banded = _banded(docs, bands, rows, min_chars, reach).repartition(parts, "key")
     met = banded.sortWithinPartitions("key", "near", "a").mapInArrow(meet, "key long, a long, b long")
     return cut(met.groupBy("key", "a", "b").agg(F.count("*").cast("int").alias("likeness")))
 

@@ -194,3 +194,24 @@ def test_pairs_among_variants_of_a_template_over_many_batches(docs_of, spark):
     want = brute_gone(docs)
     assert len(want) > 200
     assert sum(r.n_removed for r in rows) >= 0.99 * len(want)
+
+
+def test_a_shuffled_row_takes_little_more_than_its_keys(docs_of):
+    """A line's row of a band holds 20 bytes that no other has; the rest compresses away."""
+    import pyarrow as pa
+
+    from clientele.llm.fuzzy_lines import _banded
+
+    r = random.Random(3)
+    lines = [" ".join(f"w{r.randrange(10**6)}" for _ in range(8)) for _ in range(500)]
+    banded = _banded(docs_of([(0, "\n".join(lines))]), 10, 4, 20, 3)
+    wide = {"int": "i4", "bigint": "i8"}
+    raw = bytearray()  # as Spark lays rows out: their size, a bit for each null, eight bytes a column
+    for row in banded.collect():
+        raw += np.array([8 + 8 * len(row)], "i4").tobytes()
+        raw += sum(1 << i for i, x in enumerate(row) if x is None).to_bytes(8, "little")
+        for x, (_, kind) in zip(row, banded.dtypes, strict=True):
+            raw += np.array([x or 0], wide[kind]).tobytes().ljust(8, b"\0")
+    size = sum(len(pa.Codec("lz4_raw").compress(bytes(raw[k : k + 32768]))) for k in range(0, len(raw), 32768))
+    assert banded.count() == 5000
+    assert size < 28 * 5000
